@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("queries_consensus", "queries_quota", "queries_sizes")
+MODULES = ("queries_consensus", "queries_quota", "queries_subjects", "queries_sizes", "queries_abuse")
 
 QUERIES: dict = {}
 SQL: dict = {}
