@@ -43,10 +43,25 @@ def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.withColumn("_norm", norm("subject")).join(labels.select("id", "_norm"), ["id", "_norm"], "left_semi").select("id", "subject")
 
 
+def taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The taxonomy's own words as documents, one per domain in use, like ``papers``."""
+    areas = _areas(spark, sf_dir)
+    rows = load(spark, sf_dir, "domains").where("deleted_at IS NULL").select(reference_key("_id").alias("domain_id"), "name", "definition", "example_titles", reference_key("thematic_area_id").alias("area_id"))
+    text = F.array_join(F.concat(F.array(F.coalesce("definition", F.lit(""))), F.coalesce("example_titles", F.array().cast("array<string>"))), ". ")
+    joined = rows.join(areas.withColumnRenamed("name", "hint"), "area_id")
+    version = F.struct(F.lit(True).alias("has_text"), F.lit(None).cast("timestamp").alias("updated_at"))
+    return joined.select(F.concat(F.lit(_TAXONOMY), "domain_id").alias("id"), F.col("name").alias("title"), text.alias("text"), "hint", version.alias("version"))
+
+
+_TAXONOMY = "taxonomy:"
+
+
 def p5_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Areas of each paper with their sentences and share of the abstract."""
-    found = propagate_subjects(papers(spark, sf_dir), trusted(spark, sf_dir), order="version")
-    return chosen_subjects(found).select(F.col("id").alias("paper_id"), F.col("subject").alias("thematic_area"), "n_sentences", "share")
+    own = taxonomy(spark, sf_dir)
+    seeds = trusted(spark, sf_dir).unionByName(own.select("id", F.col("hint").alias("subject")))
+    found = propagate_subjects(papers(spark, sf_dir).unionByName(own), seeds, order="version")
+    return chosen_subjects(found.where(~F.col("id").startswith(_TAXONOMY))).select(F.col("id").alias("paper_id"), F.col("subject").alias("thematic_area"), "n_sentences", "share")
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:

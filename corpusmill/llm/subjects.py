@@ -51,7 +51,8 @@ def term_subjects(counts: DataFrame, *, least: float = 2.5, purity: float = 0.5)
 
 
 def propagate_subjects(
-    documents: DataFrame, seeds: DataFrame | None = None, *, id_col: str = "id", title: str = "title", text: str = "text", hint: str = "hint", order: str | None = None, rounds: int = 2
+    documents: DataFrame, seeds: DataFrame | None = None, *, id_col: str = "id", title: str = "title", text: str = "text", hint: str = "hint", order: str | None = None, rounds: int = 2,
+    least_first: float = 4.0, purity_first: float = 0.3, purity: float = 0.5, seed_weight: float = 5.0,
 ) -> DataFrame:
     """Subjects of each document: ``id_col``, ``subject``, ``n_sentences`` (the title is one), ``share``, ``n_text`` (sentences of the text that count).
 
@@ -60,7 +61,9 @@ def propagate_subjects(
     document-term incidence, so a term with millions of documents never becomes pairs. Labels
     start from ``hint`` (a column of ``documents``, may be null or wrong) and spread in ``rounds`` of two joins:
     documents to terms, terms back to sentences, each sentence taking its weightiest subject.
-    ``seeds`` (``id_col``, ``subject``) are trusted: they are clamped in every round. Other documents keep
+    Hints are often wrong, so the first check of terms is mild (``purity_first``, far above an even
+    spread) and later ones, on propagated labels, stricter (``purity``).
+    ``seeds`` (``id_col``, ``subject``) are trusted: they are clamped in every round, with ``seed_weight``. Other documents keep
     all subjects that their sentences have, by share. The result is read from the graph for seeds too.
 
     Of rows with one id the greatest by ``order`` counts (null is least). Null titles and texts
@@ -71,7 +74,7 @@ def propagate_subjects(
     terms = sentences(rows, "_title", "_body", keep=["_id", "_v", "_hint"])
     # Counted per sentence, summed before the shuffle: the exchange has a row per term, subject and task.
     first = terms.where(F.col("_hint").isNotNull()).select("_hint", F.explode("_terms").alias("term")).groupBy("term", F.col("_hint").alias("subject")).agg(F.count(F.lit(1)).cast("double").alias("n"))
-    known = cut(term_subjects(first).withColumn("idx", F.monotonically_increasing_id()))
+    known = cut(term_subjects(first, least=least_first, purity=purity_first).withColumn("idx", F.monotonically_increasing_id()))
 
     # The incidence: per document the verified terms of its sentences, packed as sentence * 2**48 + term number.
     hits = terms.select("_id", "_v", "_s", F.explode("_terms").alias("term")).join(known.select("term", "idx"), "term").select("_id", "_v", (F.shiftleft(F.col("_s").cast("long"), 48) + F.col("idx")).alias("_hit"))
@@ -91,10 +94,10 @@ def propagate_subjects(
             return counts.select(F.col("_id").alias(id_col), "subject", "n_sentences", (F.col("n_text") / F.nullif(F.sum("n_text").over(total), F.lit(0))).alias("share"), "n_text")
         share = counts.select("_id", "subject", (F.col("n_sentences") / F.sum("n_sentences").over(W.partitionBy("_id"))).alias("n"))
         if seeds is not None:
-            clamped = seeds.select(F.col(id_col).alias("_id"), "subject", F.lit(1.0).alias("n"))
+            clamped = seeds.select(F.col(id_col).alias("_id"), "subject", F.lit(seed_weight).alias("n"))
             share = share.join(clamped.select("_id"), "_id", "left_anti").unionByName(clamped)
         spread = each.select("_id", "idx").distinct().join(share, "_id").groupBy(F.col("idx").alias("term"), "subject").agg(F.sum("n").alias("n"))
-        table = cut(term_subjects(spread).select(F.col("term").alias("idx"), "subject", "weight"))
+        table = cut(term_subjects(spread, purity=purity).select(F.col("term").alias("idx"), "subject", "weight"))
     raise ValueError("rounds must not be negative")
 
 
