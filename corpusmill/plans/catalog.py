@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("integrity", "diff", "facets", "rules", "metrics")
+MODULES = ("integrity", "diff", "facets", "rules", "metrics", "sampling", "merging")
 
 
 def _merged(attribute: str) -> dict:
