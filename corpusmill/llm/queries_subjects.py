@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 from ..functions.hygiene import junk_match
 from ..functions.text import key, norm, reference_key, squash, ustrip
-from ..operators.distributed import latest
+from ..operators.distributed import latest, require_at_most
 from ..sources.tables import load
-from .subjects import OUTSIDE, chosen_subjects, propagate_subjects
+from .subjects import MAX_SUBJECTS, OUTSIDE, chosen_subjects, propagate_subjects
 
 
 def _areas(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load(spark, sf_dir, "thematicareas").where("deleted_at IS NULL").select(reference_key("_id").alias("area_id"), "name")
+    return _local(load(spark, sf_dir, "thematicareas").where("deleted_at IS NULL").select(reference_key("_id").alias("area_id"), "name"))
+
+
+def _local(df: DataFrame) -> DataFrame:
+    """A dimension of checked size, to be broadcast: joins with it need no shuffle of the other side."""
+    return F.broadcast(df.sparkSession.createDataFrame(require_at_most(df, MAX_SUBJECTS, "taxonomy"), df.schema))
 
 
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,7 +28,7 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
         reference_key("classification.thematic_area_id").alias("area_id"), reference_key("classification.domain_id").alias("domain_id"), F.coalesce("classification.unclassifiable", F.lit(False)).alias("outside"),
     )
     areas = _areas(spark, sf_dir)
-    domains = load(spark, sf_dir, "domains").where("deleted_at IS NULL").select(reference_key("_id").alias("domain_id"), reference_key("thematic_area_id").alias("area_id")).join(areas, "area_id").select("domain_id", F.col("name").alias("by_domain"))
+    domains = _local(load(spark, sf_dir, "domains").where("deleted_at IS NULL").select(reference_key("_id").alias("domain_id"), reference_key("thematic_area_id").alias("area_id")).join(areas, "area_id").select("domain_id", F.col("name").alias("by_domain")))
     named = rows.join(areas, "area_id", "left").join(domains, "domain_id", "left")
     # Stored keys that disagree are no hint.
     hint = F.when(F.col("outside"), OUTSIDE).when(F.col("name").isNull() | F.col("by_domain").isNull() | (F.col("name") == F.col("by_domain")), F.coalesce("name", "by_domain"))

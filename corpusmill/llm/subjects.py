@@ -2,49 +2,183 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from ..operators.distributed import cut
+from ..operators.distributed import cut, require_at_most
 
 #: The label of documents outside all subjects; it is propagated like a subject and left out of results.
 OUTSIDE = "-"
+#: Verified terms and subjects that tasks carry along (about 13 bytes a term); more are an error.
+MAX_TERMS, MAX_SUBJECTS = 4_000_000, 10_000
+#: Words kept in a worker's table before it is emptied.
+MEMO = 500_000
+_SHIFT = 40
+_MASK = (1 << _SHIFT) - 1
+
+
+class Terms:
+    """Terms of a text: words of five letters and more and pairs of neighbouring words of four and more, as 64-bit hashes.
+
+    Words are runs of letters in lower case, a final s of longer words dropped; markup is skipped. A pair does not
+    cross the end of a sentence. Sentence 0 is the title.
+    """
+
+    def __init__(self):
+        import xxhash
+
+        self.markup = re.compile(r"<[^>]{0,80}>|&\w+;")
+        self.tokens = re.compile(r"[^\W\d_]+|[.!?](?=\s)").findall
+
+        class Memo(dict):
+            def __missing__(self, word: str) -> int:
+                if len(self) >= MEMO:
+                    self.clear()
+                if word in ".!?":
+                    n = 0
+                else:
+                    plain = word[:-1] if len(word) > 3 and word.endswith("s") else word
+                    n = (xxhash.xxh3_64_intdigest(plain) >> 3 << 2) + (len(plain) >= 5) + 2 * (len(plain) >= 4)
+                self[word] = n
+                return n
+
+        self.memo = Memo()
+
+    def batch(self, titles: pd.Series, texts: pd.Series) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Terms of many documents at once, with the document and the sentence of each."""
+        words: list[str] = []
+        ends = []
+        for title, text in zip(titles, texts):
+            whole = f"{title or ''} . {text or ''}".lower()
+            if "<" in whole or "&" in whole:
+                whole = self.markup.sub(" ", whole)
+            words += self.tokens(whole)
+            words.append(".")  # no pair reaches into the next document
+            ends.append(len(words))
+        ids = np.fromiter(map(self.memo.__getitem__, words), dtype="uint64", count=len(words))
+        lengths = np.diff(np.asarray(ends, dtype="int64"), prepend=0)
+        document = np.repeat(np.arange(len(lengths)), lengths)
+        stops = np.cumsum(ids == 0)
+        first = np.asarray(ends, dtype="int64") - lengths
+        before = np.where(first > 0, stops[np.maximum(first - 1, 0)], 0) if len(words) else first
+        sentence = stops - np.repeat(before, lengths)
+        longer = (ids & np.uint64(1)) > 0
+        usable = (ids & np.uint64(2)) > 0
+        both = usable[:-1] & usable[1:]
+        pairs = ids[:-1][both] * np.uint64(0x9E3779B97F4A7C15) + ids[1:][both] * np.uint64(0xC2B2AE3D27D4EB4F)
+        return np.concatenate([ids[longer], pairs]).view("int64"), np.concatenate([document[longer], document[:-1][both]]), np.concatenate([sentence[longer], sentence[:-1][both]])
+
+
+def _by_document(values: np.ndarray, document: np.ndarray, n: int) -> pd.Series:
+    """Values, sorted by document, as one array per document."""
+    return pd.Series(np.split(values, np.searchsorted(document, np.arange(1, n)))) if n else pd.Series([], dtype=object)
+
+
+def document_terms(title: str, text: str) -> Column:
+    """All terms of a document, once per occurrence."""
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def found(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        terms = Terms()
+        for titles, texts in batches:
+            term, document, _ = terms.batch(titles, texts)
+            order = np.argsort(document, kind="stable")
+            yield _by_document(term[order], document[order], len(titles))
 
+    return found(title, text)
 
-def plain_sentence(c: Column) -> Column:
-    """Lower-case words of letters, markup dropped, a final s of longer words dropped."""
-    bare = F.regexp_replace(F.lower(c), r"<[^>]{0,80}>|&\w+;|[^\p{L}]+", " ")
-    return F.trim(F.regexp_replace(bare, r"(?<=\p{L}{3})s(?= |$)", ""))
 
+def document_hits(title: str, text: str, known: np.ndarray) -> Column:
+    """Verified terms of a document, packed as sentence * 2**40 + place in the sorted array ``known``, each once."""
+    shared = _shared(known)
 
-def sentence_terms(sentence: Column) -> Column:
-    """Hashes of the words of five letters and more and of all pairs of neighbouring words."""
-    words = F.split(sentence, " +")
-    n = F.size(words)
-    pairs = F.zip_with(F.slice(words, 1, n - 1), F.slice(words, 2, F.greatest(n - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b))
-    singles = F.transform(F.filter(words, lambda w: F.length(w) >= 5), lambda w: F.xxhash64(w))
-    return F.when(sentence == "", F.array().cast("array<bigint>")).otherwise(F.concat(singles, F.when(n > 1, pairs).otherwise(F.array().cast("array<bigint>"))))
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def found(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        terms, table = Terms(), shared.value
+        for titles, texts in batches:
+            term, document, sentence = terms.batch(titles, texts)
+            at = np.minimum(np.searchsorted(table, term), max(len(table) - 1, 0))
+            hit = table[at] == term if len(table) else np.zeros(len(term), dtype=bool)
+            packed, document = (sentence[hit] << _SHIFT) + at[hit], document[hit]
+            order = np.lexsort((packed, document))
+            packed, document = packed[order], document[order]
+            new = np.r_[True, (np.diff(packed) != 0) | (np.diff(document) != 0)] if len(packed) else np.zeros(0, dtype=bool)
+            yield _by_document(packed[new], document[new], len(titles))
 
+    return found(title, text)
 
-def sentences(documents: DataFrame, title: str, text: str, *, keep: list[str]) -> DataFrame:
-    """One row per sentence with its hashed terms: number 0 is the title, the text's follow from 1."""
-    parts = F.concat(F.array(F.coalesce(F.col(title), F.lit(""))), F.split(F.coalesce(F.col(text), F.lit("")), r"(?<=[.!?])\s+"))
-    each = documents.select(*keep, F.posexplode(F.transform(parts, plain_sentence)).alias("_s", "_text")).where("_text != ''")
-    return each.select(*keep, "_s", sentence_terms(F.col("_text")).alias("_terms"))
+
+def _shared(value):
+    from pyspark.sql import SparkSession
+
+    return SparkSession.active().sparkContext.broadcast(value)
+
+
+def sentence_subjects(hits: str, code: np.ndarray, weight: np.ndarray) -> Column:
+    """Joins a document's hits with the subject and weight of each term: every sentence takes its weightiest subject.
+
+    Out: per subject one number, code * 2**40 + sentences * 2**20 + sentences of the text (each at most 2**20 - 1;
+    see ``_unpacked``). Terms with a negative code do not count; ties go to the larger code.
+    """
+    shared = _shared((code, weight))
+
+    @F.pandas_udf(T.ArrayType(T.LongType()))
+    def read(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        codes, weights = shared.value
+        for column in batches:
+            lengths = np.fromiter(map(len, column), dtype="int64", count=len(column))
+            packed = np.concatenate(column.to_list()).astype("int64") if len(column) and lengths.sum() else np.zeros(0, dtype="int64")
+            document = np.repeat(np.arange(len(column)), lengths)
+            subject = codes[packed & _MASK].astype("int64") if len(packed) else packed
+            keep = subject >= 0
+            packed, document, subject = packed[keep], document[keep], subject[keep]
+            if not len(packed):
+                yield pd.Series([packed] * len(column), dtype=object)
+                continue
+            w, sentence = weights[packed & _MASK], packed >> _SHIFT
+            order = np.lexsort((subject, sentence, document))
+            document, sentence, subject = document[order], sentence[order], subject[order]
+            starts = np.flatnonzero(np.r_[True, (np.diff(document) != 0) | (np.diff(sentence) != 0) | (np.diff(subject) != 0)])
+            sums = np.round(np.add.reduceat(w[order], starts), 6)
+            document, sentence, subject = document[starts], sentence[starts], subject[starts]
+            order = np.lexsort((subject, sums, sentence, document))
+            document, sentence, subject = document[order], sentence[order], subject[order]
+            last = np.flatnonzero(np.r_[(np.diff(document) != 0) | (np.diff(sentence) != 0), True])
+            document, subject, in_text = document[last], subject[last], (sentence[last] > 0).astype("int64")
+            order = np.lexsort((subject, document))
+            document, subject, in_text = document[order], subject[order], in_text[order]
+            starts = np.flatnonzero(np.r_[True, (np.diff(document) != 0) | (np.diff(subject) != 0)])
+            n = np.diff(np.r_[starts, len(document)])
+            out = (subject[starts] << _SHIFT) + (np.minimum(n, _HALF) << 20) + np.minimum(np.add.reduceat(in_text, starts), _HALF)
+            yield _by_document(out, document[starts], len(column))
+
+    return read(hits)
+
+
+_HALF = (1 << 20) - 1
+
+
+def _unpacked(x: Column) -> Column:
+    return F.struct(F.shiftright(x, _SHIFT).cast("int").alias("code"), F.shiftright(x, 20).bitwiseAND(F.lit(_HALF)).cast("int").alias("n"), x.bitwiseAND(F.lit(_HALF)).cast("int").alias("n_text"))
 
 
 def term_subjects(counts: DataFrame, *, least: float = 2.5, purity: float = 0.5) -> DataFrame:
     """Verified terms: those whose documents' labels agree. In: ``term``, ``subject``, ``n``; out: ``term``, ``subject``, ``weight``.
 
-    A term's share of its leading subject is taken against an even share of the subject's own frequency;
-    it must hold by its lower confidence bound (one standard deviation). A term that
-    does not say anything about the subject links nothing, so no edge rests on it.
+    A term's share of its leading subject is taken against an even share of the subjects' own frequencies;
+    it must hold by its lower confidence bound (one standard deviation). A term that does not say
+    anything about the subject links nothing, so no edge rests on it.
     """
     total = counts.groupBy("subject").agg(F.sum("n").alias("_all"))
-    joined = counts.join(F.broadcast(total), "subject")  # one row per subject
-    scaled = joined.withColumn("_rate", F.col("n") / F.col("_all"))
-    sums = scaled.groupBy("term").agg(F.sum("n").alias("_n"), F.sum("_rate").alias("_rates"), F.max_by(F.struct("subject", "n", "_rate"), F.struct("_rate", "subject")).alias("_top"))
+    scaled = counts.join(F.broadcast(total), "subject").withColumn("_rate", F.col("n") / F.col("_all"))  # one row per subject, at most MAX_SUBJECTS
+    sums = scaled.groupBy("term").agg(F.sum("n").alias("_n"), F.sum("_rate").alias("_rates"), F.max(F.struct("_rate", "subject")).alias("_top"))
     share = F.col("_top._rate") / F.col("_rates")
     bound = (share + 1 / (2 * F.col("_n")) - F.sqrt(share * (1 - share) / F.col("_n") + 1 / (4 * F.col("_n") * F.col("_n")))) / (1 + 1 / F.col("_n"))
     return sums.withColumn("_bound", bound).where((F.col("_n") >= least) & (F.col("_bound") >= purity)).select("term", F.col("_top.subject").alias("subject"), F.col("_bound").alias("weight"))
@@ -53,52 +187,62 @@ def term_subjects(counts: DataFrame, *, least: float = 2.5, purity: float = 0.5)
 def propagate_subjects(
     documents: DataFrame, seeds: DataFrame | None = None, *, id_col: str = "id", title: str = "title", text: str = "text", hint: str = "hint", order: str | None = None, rounds: int = 2,
     least_first: float = 4.0, purity_first: float = 0.3, purity: float = 0.5, seed_weight: float = 5.0,
-) -> DataFrame:
-    """Subjects of each document: ``id_col``, ``subject``, ``n_sentences`` (the title is one), ``share``, ``n_text`` (sentences of the text that count).
+) -> DataFrame:
+    """Subjects of each document: ``id_col``, ``subject``, ``n_sentences`` (the title is one), ``n_text`` (sentences of the text), ``share`` (of the text's sentences that count).
 
     Two documents are neighbours if they share a verified term, a word or pair of words whose documents'
     labels agree; the more and purer the shared terms, the nearer. The graph is kept as its
     document-term incidence, so a term with millions of documents never becomes pairs. Labels
-    start from ``hint`` (a column of ``documents``, may be null or wrong) and spread in ``rounds`` of two joins:
-    documents to terms, terms back to sentences, each sentence taking its weightiest subject.
-    Hints are often wrong, so the first check of terms is mild (``purity_first``, far above an even
-    spread) and later ones, on propagated labels, stricter (``purity``).
-    ``seeds`` (``id_col``, ``subject``) are trusted: they are clamped in every round, with ``seed_weight``. Other documents keep
-    all subjects that their sentences have, by share. The result is read from the graph for seeds too.
+    start from ``hint`` (a column of ``documents``, may be null or wrong). A round takes them from documents to
+    terms (explode, aggregate by term and subject) and from terms back to documents (join of the
+    incidence with the term table), each sentence taking its weightiest subject. Hints are often wrong,
+    so the first check of terms is mild (``purity_first``, far above an even spread) and later ones,
+    on propagated labels, stricter (``purity``).
+    ``seeds`` (``id_col``, ``subject``) are trusted: they are clamped in every round, with ``seed_weight``. Other
+    documents keep all subjects that their sentences have, by share. The result is read from
+    the graph for seeds too.
 
     Of rows with one id the greatest by ``order`` counts (null is least). Null titles and texts
     are empty; a document without verified terms has no row. ``OUTSIDE`` is a label like any other.
     """
+    spark = documents.sparkSession
     version = F.struct(*([F.col(order).alias("o")] if order else []), F.xxhash64(title, text).alias("h"))
-    rows = documents.select(F.col(id_col).alias("_id"), version.alias("_v"), F.col(hint).alias("_hint"), F.coalesce(F.col(title), F.lit("")).alias("_title"), F.coalesce(F.col(text), F.lit("")).alias("_body"))
-    terms = sentences(rows, "_title", "_body", keep=["_id", "_v", "_hint"])
-    # Counted per sentence, summed before the shuffle: the exchange has a row per term, subject and task.
-    first = terms.where(F.col("_hint").isNotNull()).select("_hint", F.explode("_terms").alias("term")).groupBy("term", F.col("_hint").alias("subject")).agg(F.count(F.lit(1)).cast("double").alias("n"))
-    known = cut(term_subjects(first, least=least_first, purity=purity_first).withColumn("idx", F.monotonically_increasing_id()))
-
-    # The incidence: per document the verified terms of its sentences, packed as sentence * 2**48 + term number.
-    hits = terms.select("_id", "_v", "_s", F.explode("_terms").alias("term")).join(known.select("term", "idx"), "term").select("_id", "_v", (F.shiftleft(F.col("_s").cast("long"), 48) + F.col("idx")).alias("_hit"))
-    packed = hits.groupBy("_id", "_v").agg(F.collect_list("_hit").alias("_hits"))
-    # Documents without hits have no part in the graph, but a later version without hits replaces an earlier one.
-    every = rows.select("_id", "_v").groupBy("_id").agg(F.max("_v").alias("_v"))
-    incidence = cut(packed.join(every, ["_id", "_v"], "left_semi").select("_id", F.array_distinct("_hits").alias("_hits")))
-    each = incidence.select("_id", F.explode("_hits").alias("_hit")).select("_id", F.shiftright("_hit", 48).alias("_s"), F.col("_hit").bitwiseAND(F.lit((1 << 48) - 1)).alias("idx"))
-
-    table = known.select("idx", "subject", "weight")
-    for i in range(rounds + 1):
-        votes = each.join(table, "idx").groupBy("_id", "_s", "subject").agg(F.sum("weight").alias("_w"))
-        sentence = votes.groupBy("_id", "_s").agg(F.max_by("subject", F.struct(F.round("_w", 9), "subject")).alias("subject"))
-        counts = sentence.groupBy("_id", "subject").agg(F.count(F.lit(1)).alias("n_sentences"), F.count_if(F.col("_s") > 0).alias("n_text"))
-        if i == rounds:
-            total = W.partitionBy("_id")
-            return counts.select(F.col("_id").alias(id_col), "subject", "n_sentences", (F.col("n_text") / F.nullif(F.sum("n_text").over(total), F.lit(0))).alias("share"), "n_text")
-        share = counts.select("_id", "subject", (F.col("n_sentences") / F.sum("n_sentences").over(W.partitionBy("_id"))).alias("n"))
-        if seeds is not None:
-            clamped = seeds.select(F.col(id_col).alias("_id"), "subject", F.lit(seed_weight).alias("n"))
-            share = share.join(clamped.select("_id"), "_id", "left_anti").unionByName(clamped)
-        spread = each.select("_id", "idx").distinct().join(share, "_id").groupBy(F.col("idx").alias("term"), "subject").agg(F.sum("n").alias("n"))
-        table = cut(term_subjects(spread, purity=purity).select(F.col("term").alias("idx"), "subject", "weight"))
-    raise ValueError("rounds must not be negative")
+    first = documents.where(F.col(hint).isNotNull()).select(F.col(hint).alias("subject"), F.explode(document_terms(title, text)).alias("term"))
+    first = first.groupBy("term", "subject").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    rows = require_at_most(term_subjects(first, least=least_first, purity=purity_first), MAX_TERMS, "verified terms")
+    rows.sort(key=lambda r: r.term)
+    known = np.array([r.term for r in rows], dtype="int64")
+
+    versions = documents.select(F.col(id_col).alias("_id"), version.alias("_v"), document_hits(title, text, known).alias("_hits"), F.lit(None).cast("string").alias("_seed"))
+    nothing = [F.lit(None).cast(versions.schema[c].dataType).alias(c) for c in ("_v", "_hits")]
+    if seeds is not None:
+        versions = versions.unionByName(seeds.select(F.col(id_col).alias("_id"), *nothing, F.col("subject").alias("_seed")))
+    # One shuffle, of packed term numbers; the text is no part of it. Rows of one id are reduced before it as well.
+    incidence = cut(versions.groupBy("_id").agg(F.max_by("_hits", "_v").alias("_hits"), F.min("_seed").alias("_seed")).where("_hits IS NOT NULL"))
+    named = {r.subject for r in rows} | {r[0] for r in require_at_most(incidence.select("_seed").distinct(), MAX_SUBJECTS, "subjects")}
+    names = sorted(x for x in named if x is not None)
+    codes = {s: i for i, s in enumerate(names)}
+    if not names:
+        return spark.createDataFrame([], f"{id_col} string, subject string, n_sentences int, n_text int, share double")
+    seed_code = F.coalesce(*[F.when(F.col("_seed") == s, i) for s, i in codes.items()])
+
+    code = np.array([codes[r.subject] for r in rows], dtype="int32")
+    weight = np.array([r.weight for r in rows], dtype="float64")
+    for _ in range(rounds):
+        read = incidence.select("_hits", seed_code.alias("_seed"), F.transform(sentence_subjects("_hits", code, weight), _unpacked).alias("_r"))
+        total = F.aggregate("_r", F.lit(0), lambda s, x: s + x["n"])
+        own = F.transform("_r", lambda x: F.struct(x["code"].alias("subject"), (x["n"] / total).alias("n")))
+        clamped = F.array(F.struct(F.col("_seed").alias("subject"), F.lit(seed_weight).alias("n")))
+        spread = read.select("_hits", F.when(F.col("_seed").isNotNull(), clamped).otherwise(own).alias("_l")).select("_hits", F.explode("_l").alias("_l"))
+        spread = spread.select(F.explode(F.array_distinct(F.transform("_hits", lambda h: h.bitwiseAND(F.lit(_MASK))))).alias("term"), "_l.subject", "_l.n").groupBy("term", "subject").agg(F.sum("n").alias("n"))
+        rows = require_at_most(term_subjects(spread, purity=purity), MAX_TERMS, "verified terms")
+        code, weight = np.full(len(known), -1, dtype="int32"), np.zeros(len(known))
+        for r in rows:
+            code[r.term], weight[r.term] = r.subject, r.weight
+    read = incidence.select("_id", F.explode(sentence_subjects("_hits", code, weight)).alias("_x")).select("_id", _unpacked(F.col("_x")).alias("_r"))
+    total = F.sum("_r.n_text").over(W.partitionBy("_id"))
+    label = F.element_at(F.array(*map(F.lit, names)), F.col("_r.code") + 1)
+    return read.select(F.col("_id").alias(id_col), label.alias("subject"), F.col("_r.n").alias("n_sentences"), F.col("_r.n_text").alias("n_text"), (F.col("_r.n_text") / F.nullif(total, F.lit(0))).alias("share"))
 
 
 def chosen_subjects(found: DataFrame, *, id_col: str = "id", least_sentences: int = 2, least_share: float = 0.2) -> DataFrame:
@@ -107,6 +251,6 @@ def chosen_subjects(found: DataFrame, *, id_col: str = "id", least_sentences: in
     A subject with a single sentence is a mention in passing, unless the document has no text that
     counts; one sentence beside the title is enough.
     """
-    by = W.partitionBy(id_col)
-    kept = found.withColumn("_text", F.sum("n_text").over(by)).where((F.col("subject") != OUTSIDE) & (((F.col("n_sentences") >= least_sentences) & (F.col("n_text") > 0) & (F.col("share") >= least_share)) | (F.col("_text") == 0)))
-    return kept.drop("_text")
+    text = F.sum("n_text").over(W.partitionBy(id_col))
+    good = (F.col("n_sentences") >= least_sentences) & (F.col("n_text") > 0) & (F.col("share") >= least_share)
+    return found.withColumn("_text", text).where((F.col("subject") != OUTSIDE) & (good | (F.col("_text") == 0))).drop("_text")

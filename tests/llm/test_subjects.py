@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 
 from corpusmill.llm.subjects import OUTSIDE, Terms, chosen_subjects, propagate_subjects
 
@@ -49,7 +50,9 @@ def test_no_hints_and_no_rows(spark):
 
 
 def test_terms():
-    terms, sentences = Terms()("Flame stability", "Stability of <b>flames</b> matters. Short.")
-    assert len(terms) == len(sentences) and set(sentences) <= {0, 1, 2}
-    same = Terms()("FLAME-STABILITY", None)[0]
-    assert set(same) == set(terms[sentences == 0])
+    one = pd.Series(["Flame stability", None, "FLAME-STABILITY"])
+    terms, document, sentence = Terms().batch(one, pd.Series(["Stability of <b>flames</b> matters. Short words.", None, None]))
+    of = lambda d, s: set(terms[(document == d) & (sentence == s)])
+    assert of(0, 0) == of(2, 0) and len(of(0, 0)) == 3 and 1 not in set(document)
+    assert of(0, 0) & of(0, 1) and set(sentence[document == 0]) == {0, 1, 2}
+    assert len(Terms().batch(one[:0], one[:0])[0]) == 0
