@@ -20,6 +20,17 @@ def _sum(terms: list[Column]) -> Column:
     return reduce(add, terms)
 
 
+def one_vote(votes: DataFrame, labels: list[str], *, item: str = "item", annotator: str = "annotator", label: str = "label", detail: str | None = None) -> DataFrame:
+    """One row per item and annotator with only the columns named; votes with a null or an unknown label are left out.
+
+    Repeated votes count once; of different ones the greatest label counts, then the greatest detail.
+    """
+    cols = [label, *([detail] if detail else [])]
+    known = votes.where(F.col(item).isNotNull() & F.col(annotator).isNotNull() & F.col(label).isin(*labels))
+    best = known.groupBy(item, annotator).agg(F.max(F.struct(*cols)).alias("_b"))
+    return best.select(item, annotator, *[F.col(f"_b.{c}").alias(c) for c in cols])
+
+
 def spectral_reliability(votes: DataFrame, labels: list[str], *, item: str = "item", annotator: str = "annotator", label: str = "label", rounds: int = 12, tolerance: float = 1e-3) -> DataFrame:
     """Reliability per annotator: the leading eigenvector of the chance-centred agreement matrix.
 
@@ -31,14 +42,13 @@ def spectral_reliability(votes: DataFrame, labels: list[str], *, item: str = "it
     label, and these sums with votes per annotator; a, a itself is taken out exactly. So an item
     that all annotators labelled costs its votes, not their pairs.
 
-    ``votes`` must have one row per item and annotator, the label in ``labels``; it is read in every
-    round: pass a checkpoint. Out: ``annotator``, ``n_votes``, ``shares`` (per label), ``centred``
+    ``votes`` may hold repeated rows, nulls and other columns (see ``one_vote``). Out: ``annotator``, ``n_votes``, ``shares`` (per label), ``centred``
     (eigenvector entry), ``reliability`` (share of votes that come from knowledge, not guessing,
     between 0.01 and 0.97). An annotator who shares no item with another gets the average.
     An empty table gives an empty result.
     """
     k = len(labels)
-    v = votes.select(F.col(item).alias("_i"), F.col(annotator).alias("_a"), F.col(label).alias("_l"))
+    v = cut(one_vote(votes, labels, item=item, annotator=annotator, label=label).select(F.col(item).alias("_i"), F.col(annotator).alias("_a"), F.col(label).alias("_l")))
     base = v.groupBy("_a").agg(F.count(F.lit(1)).alias("n_votes"), *[F.count_if(F.col("_l") == x).alias(f"_c{j}") for j, x in enumerate(labels)])
     base = cut(base.select("_a", "n_votes", *[(F.col(f"_c{j}") / F.col("n_votes")).alias(f"p{j}") for j in range(k)], F.lit(0.5).alias("r")))
     shares = [f"p{j}" for j in range(k)]
@@ -67,8 +77,8 @@ def spectral_reliability(votes: DataFrame, labels: list[str], *, item: str = "it
     return scaled.select(F.col("_a").alias(annotator), "n_votes", F.array(*shares).alias("shares"), F.col("r").alias("centred"), F.least(F.greatest(known, F.lit(LEAST)), F.lit(MOST)).alias("reliability"))
 
 
-def weighted_votes(votes: DataFrame, reliability: DataFrame, labels: list[str], *, annotator: str = "annotator", label: str = "label", detail: str | None = None, exact: float = 0.9) -> DataFrame:
-    """``votes`` with ``weight``: the log-likelihood ratio of a vote under the annotator's reliability.
+def weighted_votes(votes: DataFrame, reliability: DataFrame, labels: list[str], *, item: str = "item", annotator: str = "annotator", label: str = "label", detail: str | None = None, exact: float = 0.9) -> DataFrame:
+    """Each vote (see ``one_vote``) with ``weight``: the log-likelihood ratio of a vote under the annotator's reliability.
 
     An annotator with reliability g gives the true label with probability g, else guesses from the
     own habit; so a vote that is a habit weighs little and a rare one more. ``prior`` is an array of
@@ -81,6 +91,7 @@ def weighted_votes(votes: DataFrame, reliability: DataFrame, labels: list[str],
     """
     k = range(len(labels))
     g = F.col("reliability")
+    votes = one_vote(votes, labels, item=item, annotator=annotator, label=label, detail=detail)
     totals = reliability.agg(*[(F.sum(F.col("shares")[j] * F.col("n_votes")) / F.sum("n_votes")).alias(f"_pi{j}") for j in k], F.array(*[F.log(F.greatest(F.sum(F.col("shares")[j] * F.col("n_votes") * g) / F.sum(F.col("n_votes") * g), F.lit(0.001))) for j in k]).alias("prior"))
     if detail:
         each = votes.where(F.col(detail).isNotNull()).groupBy(detail).agg(F.count(F.lit(1)).alias("n"))

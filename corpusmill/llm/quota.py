@@ -23,8 +23,9 @@ def divisor_sample(records: DataFrame, targets: DataFrame, *, line: str = "targe
     exhausted its seats go to the others by the same order. The floors are kept even where
     they add up to more than ``sample_size``. Categories without a share only get their floor.
 
-    Out: the columns of ``records`` and ``rank``, ``priority``. Records whose ``line`` is null or not
-    in ``targets`` are never drawn; ``id_col`` must be unique. Empty inputs give an empty sample.
+    Out: the columns of ``records`` and ``rank``, ``priority`` (columns of these names are replaced).
+    Records whose ``line`` is null or not in ``targets`` are never drawn. Repeated ids are records of
+    their own. Empty inputs give an empty sample.
 
     No category and no sample is sorted in one task: ranks come from ``group_rank``, and since
     priorities of all categories together are spread evenly (about x records below priority x),
@@ -32,9 +33,12 @@ def divisor_sample(records: DataFrame, targets: DataFrame, *, line: str = "targe
     and only the slice in which the sample ends is ranked.
     """
     lines = target_lines(targets, line).groupBy(line).agg(F.max("target_share").alias("target_share"), F.max("min_rows").alias("min_rows"), F.max("sample_size").alias("sample_size"))
-    hashed = records.where(F.col(line).isNotNull()).withColumn("_random", F.md5(F.concat_ws("-", F.lit(seed), F.col(id_col).cast("string"))))
-    ranked = group_rank(hashed, [line], ["_random", id_col], salt_on=["_random"], salts=salts)
-    salted = ranked.withColumn("_salt", salt_of(["_random"], 16)).join(replicate(lines, 16), [line, "_salt"])
+    own = [c for c in records.columns if c not in ("rank", "priority")]
+    bare = records.where(F.col(line).isNotNull()).select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_record"), F.col(line).alias("_line"), F.col(id_col).alias("_id"))
+    hashed = bare.withColumn("_random", F.md5(F.concat_ws("-", F.lit(seed), F.col("_id").cast("string"))))
+    lines = lines.withColumnRenamed(line, "_line")
+    ranked = group_rank(hashed, ["_line"], ["_random", "_id"], salt_on=["_random"], salts=salts)
+    salted = ranked.withColumn("_salt", salt_of(["_random"], 16)).join(replicate(lines, 16), ["_line", "_salt"])
     share = F.nullif(F.col("target_share"), F.lit(0.0))
     scored = salted.withColumn("_floor", F.col("rank") <= F.col("min_rows")).withColumn("priority", (F.col("rank") - 0.5) / share).where(F.col("_floor") | F.col("priority").isNotNull())
     # Floors first, as one slice; then slices of priority.
@@ -45,8 +49,8 @@ def divisor_sample(records: DataFrame, targets: DataFrame, *, line: str = "targe
     ends = slices.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).where((F.col("_slice") == -1) | (F.col("_before") < F.col("_size"))).select("_slice", "_before", "_n", "_size")
     joined = scored.join(ends, "_slice")
     whole = (F.col("_slice") == -1) | (F.col("_before") + F.col("_n") <= F.col("_size"))
-    out = [*[F.col(c) for c in records.columns], F.col("rank"), F.col("priority")]
-    last = joined.where(~whole).withColumn("_at", F.row_number().over(W.partitionBy("_slice").orderBy("priority", line, "_random", id_col)))
+    out = ["_record.*", "rank", "priority"]
+    last = joined.where(~whole).withColumn("_at", F.row_number().over(W.partitionBy("_slice").orderBy("priority", "_line", "_random", "_id")))
     return joined.where(whole).select(*out).unionByName(last.where(F.col("_before") + F.col("_at") <= F.col("_size")).select(*out))
 
 

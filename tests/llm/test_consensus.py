@@ -72,3 +72,11 @@ def test_named_spans(spark):
     texts = spark.createDataFrame([(1, "Energy -> batteries and storage (optional)"), (2, "LAW, order & gender, if forced"), (3, "nothing"), (4, None), (5, "")], "k int, t string")
     got = {r.k: r["name"] for r in named_spans(texts, "t", names, "name", keys=["k"]).collect()}
     assert got == {1: "Batteries & Storage", 2: "Law, Order & Gender"}
+
+
+def test_dirty_votes(spark):
+    rows = [("i", "a", "yes", 1.0), ("i", "a", "yes", 1.0), ("i", "a", "maybe", 1.0), ("i", "b", "yes", 1.0), ("j", "b", "huh", 1.0), ("j", "b", None, 1.0), (None, "b", "yes", 1.0), ("k", None, "yes", 1.0)]
+    votes = spark.createDataFrame(rows, "item string, annotator string, label string, weight double").withColumn("shares", F.lit(1)).withColumn("_i", F.lit(2))
+    weighted = weighted_votes(votes, spectral_reliability(votes, LABELS), LABELS)
+    got = consensus(weighted, LABELS).collect()
+    assert [(r["item"], r.label, r.n_votes) for r in got] == [("i", "yes", 2)]

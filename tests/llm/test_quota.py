@@ -45,3 +45,10 @@ def test_empty(spark):
     df = spark.createDataFrame([], "id string, target_id int")
     assert divisor_sample(df, goals).count() == 0
     assert quota_report(df, goals).first().is_met
+
+
+def test_clashing_columns_nulls_and_repeats(spark):
+    df = spark.createDataFrame([("a", 1, 5, "x"), ("a", 1, 6, None), (None, 1, 7, "y"), ("b", None, 8, "z")], "id string, target_id int, rank int, `_salt` string")
+    goals = spark.createDataFrame([(1, 1.0, 0, 30)], "target_id int, target_share double, min_rows int, sample_size int")
+    drawn = divisor_sample(df, goals)
+    assert drawn.columns == ["id", "target_id", "_salt", "rank", "priority"] and sorted(r["rank"] for r in drawn.collect()) == [1, 2, 3]
