@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.hygiene import junk_match
-from ..functions.text import key, norm, reference_key, squash, ustrip
+from ..functions.hygiene import is_junk
+from ..functions.text import key, norm, reference_key
 from ..operators.distributed import latest, require_at_most
 from ..sources.tables import load
 from .subjects import MAX_SUBJECTS, OUTSIDE, chosen_subjects, propagate_subjects
@@ -24,7 +24,7 @@ def _local(df: DataFrame) -> DataFrame:
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row that is no editorial item: ``id``, ``title``, ``text``, ``hint`` (the stored area, by its own key or the domain's), ``updated``."""
     rows = load(spark, sf_dir, "researchmetadatascopus").select(
-        F.col("_id").alias("id"), squash("title").alias("title"), "abstract", "updated_at",
+        F.col("_id").alias("id"), "title", "abstract", "updated_at",
         reference_key("classification.thematic_area_id").alias("area_id"), reference_key("classification.domain_id").alias("domain_id"), F.coalesce("classification.unclassifiable", F.lit(False)).alias("outside"),
     )
     areas = _areas(spark, sf_dir)
@@ -32,11 +32,12 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = rows.join(areas, "area_id", "left").join(domains, "domain_id", "left")
     # Stored keys that disagree are no hint.
     hint = F.when(F.col("outside"), OUTSIDE).when(F.col("name").isNull() | F.col("by_domain").isNull() | (F.col("name") == F.col("by_domain")), F.coalesce("name", "by_domain"))
-    missing = F.lower(ustrip("abstract")).rlike(r"^\W*no abstract available\W*$")
+    # Long abstracts are no stand-ins; patterns that run over whole texts cost more than all else here.
+    missing = F.when(F.length("abstract") <= 60, F.col("abstract").rlike(r"(?i)^\W*no abstract available\W*$")).otherwise(F.lit(False))
     text = F.when(missing, F.lit(None)).otherwise(F.col("abstract"))
     # The latest row counts, one with a text before one without.
-    version = F.struct((F.length(ustrip(F.coalesce(text, F.lit("")))) > 0).alias("has_text"), "updated_at")
-    return named.select("id", "title", text.alias("text"), hint.alias("hint"), version.alias("version")).where(junk_match(F.coalesce("title", F.lit(""))).isNull())
+    version = F.struct(F.coalesce(text.rlike(r"\w"), F.lit(False)).alias("has_text"), "updated_at")
+    return named.select("id", "title", text.alias("text"), hint.alias("hint"), version.alias("version")).where(~is_junk(F.coalesce("title", F.lit(""))))
 
 
 def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:

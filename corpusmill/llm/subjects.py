@@ -81,18 +81,22 @@ def _by_document(values: np.ndarray, document: np.ndarray, n: int) -> pd.Series:
     return pd.Series(np.split(values, np.searchsorted(document, np.arange(1, n)))) if n else pd.Series([], dtype=object)
 
 
-def document_terms(title: str, text: str) -> Column:
-    """All terms of a document, once per occurrence."""
+def term_counts(documents: DataFrame, title: str, text: str, subject: str) -> DataFrame:
+    """Occurrences ``n`` of each ``term`` by ``subject``: counted per batch in the task, then added up."""
 
-    @F.pandas_udf(T.ArrayType(T.LongType()))
-    def found(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         terms = Terms()
-        for titles, texts in batches:
-            term, document, _ = terms.batch(titles, texts)
-            order = np.argsort(document, kind="stable")
-            yield _by_document(term[order], document[order], len(titles))
+        for batch in batches:
+            term, document, _ = terms.batch(batch["_title"], batch["_text"])
+            codes, names = pd.factorize(batch["subject"])
+            code = codes[document]
+            order = np.lexsort((code, term))
+            term, code = term[order], code[order]
+            starts = np.flatnonzero(np.r_[True, (np.diff(term) != 0) | (np.diff(code) != 0)]) if len(term) else np.zeros(0, dtype="int64")
+            yield pd.DataFrame({"term": term[starts], "subject": np.asarray(names, dtype=object)[code[starts]], "n": np.diff(np.r_[starts, len(term)]).astype("float64")})
 
-    return found(title, text)
+    rows = documents.select(F.col(title).alias("_title"), F.col(text).alias("_text"), F.col(subject).alias("subject"))
+    return rows.mapInPandas(counted, "term long, subject string, n double").groupBy("term", "subject").agg(F.sum("n").alias("n"))
 
 
 def document_hits(title: str, text: str, known: np.ndarray) -> Column:
@@ -207,8 +211,7 @@ def propagate_subjects(
     """
     spark = documents.sparkSession
     version = F.struct(*([F.col(order).alias("o")] if order else []), F.xxhash64(title, text).alias("h"))
-    first = documents.where(F.col(hint).isNotNull()).select(F.col(hint).alias("subject"), F.explode(document_terms(title, text)).alias("term"))
-    first = first.groupBy("term", "subject").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    first = term_counts(documents.where(F.col(hint).isNotNull()), title, text, hint)
     rows = require_at_most(term_subjects(first, least=least_first, purity=purity_first), MAX_TERMS, "verified terms")
     rows.sort(key=lambda r: r.term)
     known = np.array([r.term for r in rows], dtype="int64")
