@@ -251,9 +251,11 @@ def propagate_subjects(
 def chosen_subjects(found: DataFrame, *, id_col: str = "id", least_sentences: int = 2, least_share: float = 0.2) -> DataFrame:
     """The subjects that a document deals with: the leading one and others with a good part of the text.
 
-    A subject with a single sentence is a mention in passing, unless the document has no text that
-    counts; one sentence beside the title is enough.
+    The leading one has the most sentences, of equals the title's. It is kept however short the text is, unless
+    it is ``OUTSIDE``. A further subject with a single sentence is a mention in passing; one sentence beside the
+    title is enough.
     """
-    text = F.sum("n_text").over(W.partitionBy(id_col))
+    of_title = F.col("n_sentences") > F.col("n_text")
+    lead = F.max(F.struct("n_sentences", of_title.alias("_title"), "subject")).over(W.partitionBy(id_col))
     good = (F.col("n_sentences") >= least_sentences) & (F.col("n_text") > 0) & (F.col("share") >= least_share)
-    return found.withColumn("_text", text).where((F.col("subject") != OUTSIDE) & (good | (F.col("_text") == 0))).drop("_text")
+    return found.withColumn("_lead", lead).where((F.col("subject") != OUTSIDE) & (good | (F.col("subject") == F.col("_lead.subject")))).drop("_lead")

@@ -56,3 +56,16 @@ def test_terms():
     assert of(0, 0) == of(2, 0) and len(of(0, 0)) == 3 and 1 not in set(document)
     assert of(0, 0) & of(0, 1) and set(sentence[document == 0]) == {0, 1, 2}
     assert len(Terms().batch(one[:0], one[:0])[0]) == 0
+
+
+def test_leading_subject_is_kept(spark):
+    rows = [
+        ("one", "B", 1, 1, 1.0),  # a single sentence, a title without terms
+        ("both", "A", 1, 0, 0.0), ("both", "B", 1, 1, 1.0),  # the title leads
+        ("each", "A", 1, 1, 0.5), ("each", "B", 2, 1, 0.5), ("each", "C", 1, 0, 0.0),
+        ("out", OUTSIDE, 3, 2, 0.67), ("out", "A", 1, 1, 0.33),
+        ("title", "A", 1, 0, None),
+        ("two", "A", 4, 3, 0.5), ("two", "B", 2, 2, 0.33), ("two", "C", 1, 1, 0.17),
+    ]
+    got = chosen_subjects(spark.createDataFrame(rows, "id string, subject string, n_sentences int, n_text int, share double"))
+    assert sorted((r.id, r.subject) for r in got.collect()) == [("both", "A"), ("each", "B"), ("one", "B"), ("title", "A"), ("two", "A"), ("two", "B")]
