@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,17 +20,19 @@ GAP = 9
 #: Words kept in a worker's table before it is emptied.
 MEMO = 500_000
 
-_KINDS = ("INSULT", "AIMED", "SCORN", "SEXUAL", "INTIMATE", "VIOLENCE", "DEHUMANISING", "GROUPS", "SECOND_PERSON", "CUE", "HIDDEN", "CAPITALS", "LOUD", "LETTER")
+_KINDS = ("INSULT", "AIMED", "SCORN", "SEXUAL", "INTIMATE", "VIOLENCE", "DEHUMANISING", "GROUPS", "SECOND_PERSON", "CUE", "HIDDEN", "CAPITALS", "LOUD", "LETTER", "TALK", "AIM")
 BIT = {k: 1 << i for i, k in enumerate(_KINDS)}
-_CONTENT = sum(BIT[k] for k in _KINDS[:10]) - BIT["SECOND_PERSON"]
-_GRAVE = BIT["INSULT"] | BIT["AIMED"] | BIT["SEXUAL"] | BIT["CUE"] | BIT["HIDDEN"]
+_CONTENT = sum(BIT[k] for k in _KINDS[:10]) - BIT["SECOND_PERSON"] + BIT["AIM"]
+_GRAVE = BIT["INSULT"] | BIT["AIMED"] | BIT["SEXUAL"] | BIT["CUE"] | BIT["HIDDEN"] | BIT["AIM"]
 _BITS = np.array([BIT[k] for k in _KINDS[:13]])
 FEATURES = (
     *("insult", "aimed", "scorn", "sexual", "intimate", "violence", "dehumanising", "groups", "second_person", "cue_words", "hidden", "capitals", "loud"),
-    *("cues", "length", "insult_at_you", "harm_at_you", "hate", "severity"),
+    *("cues", "length", "insult_at_you", "harm_at_you", "hate", "aimed_talk", "severity"),
     *("doc_insult", "doc_sexual", "doc_violence", "doc_dehumanising", "doc_second_person", "doc_hidden", "doc_capitals", "doc_loud"),
 )
 _SEVERITY = FEATURES.index("severity")
+_PRONOUNS = frozenset("they them these those diese sie ils elles ceux ellos ellas esos estos".split())
+_DEMONYM = re.compile(r"(?:ans|ites|ese|ish|ists|aris|ims|ari|aner|iten|isten|esen|länder|linge|ais|ois|iens|istes|anos|eses|istas|itas|enses|folk|leute)$").search
 
 
 class Reader:
@@ -59,6 +62,8 @@ class Reader:
                 self.kinds[w] = self.kinds.get(w, 0) | BIT[k]
         for first, *_ in lx.CUES:
             self.kinds[first] = self.kinds.get(first, 0) | BIT["CUE"]
+        for w in lx.PESTS | lx.BLIGHT | lx.HUMAN | lx.BREED | lx.BELONG | lx.HARMED | lx.HARM | lx.KNOW | lx.HOPE | lx.NEED | lx.FINISH:
+            self.kinds[w] = self.kinds.get(w, 0) | BIT["TALK"]
         self.cues = [frozenset(c) for c in lx.CUES]
         strong = {w for k in ("INSULT", "SCORN", "SEXUAL", "DEHUMANISING", "GROUPS", "VIOLENCE", "INTIMATE") for w in getattr(lx, k)}
         self.long = {w for w in strong if len(w) >= 6}
@@ -137,6 +142,9 @@ class Reader:
         per = 1000.0 / max(len(words), 100)
         for i, k in enumerate(("INSULT", "SEXUAL", "VIOLENCE", "DEHUMANISING", "SECOND_PERSON", "HIDDEN", "CAPITALS", "LOUD")):
             out[_SEVERITY + 1 + i] = np.count_nonzero(codes & BIT[k]) * per
+        for t in np.flatnonzero(codes & BIT["TALK"]).tolist():
+            if self.aimed(words, t):
+                codes[t] |= BIT["AIM"]
         at = np.flatnonzero(codes & _CONTENT)
         if not len(at):
             return out.tolist()
@@ -173,6 +181,68 @@ class Reader:
                 out.append((w, self.memo[w]))
         return [w for w, _ in out], np.array([c for _, c in out], dtype="int64")
 
+    def aimed(self, words: list[str], t: int) -> bool:
+        """Whether word ``t`` dehumanises a group, calls for harm to it, or threatens the reader, by the form of its sentence.
+
+        The group need not be known: any people, plural or capitalised word will do as subject, if what is said is plain enough.
+        """
+        lo, hi = t, t + 1
+        while lo > 0 and t - lo < 9 and words[lo - 1][-1:] not in ".!?;:":
+            lo -= 1
+        while hi < len(words) and hi - t < 9 and words[hi - 1][-1:] not in ".!?;:":
+            hi += 1
+        raw, t = words[lo:hi], t - lo
+        low = [self.plain.get(w) or w.strip(self.edges).casefold() for w in raw]
+        w, before, after = low[t], low[:t], low[t + 1 :]
+        if w in lx.PESTS or w in lx.BLIGHT:
+            j = t - 1
+            while j >= 0 and low[j] not in lx.ARE and (low[j] in lx.FILLER or low[j] in lx.SCORN):
+                j -= 1
+            if j > 0 and low[j] in lx.ARE and self.subject(raw, low, max(0, j - 4), j, plural=w in lx.PESTS):
+                return True
+        if w in lx.HUMAN and before and before[-1] in lx.NOTHING and self.subject(raw, low, 0, len(low), plural=False):
+            return True
+        if w in lx.HUMAN and any(x in lx.NOT for x in before[-3:]):
+            j = max((i for i in range(max(0, t - 5), t) if low[i] in lx.ARE), default=0)
+            if j and self.subject(raw, low, max(0, j - 4), j, plural=True):
+                return True
+        if w in lx.FINISH and any(x in lx.JOB for x in after[:3]):
+            j = max((i for i in range(t) if low[i] in lx.OUGHT), default=t)
+            if self.subject(raw, low, j, t, plural=False):
+                return True
+        if w in lx.BREED and any(x in lx.LIKE for x in after[:2]) and self.subject(raw, low, max(0, t - 4), t, plural=True):
+            return True
+        if w in lx.BELONG and (any(x in lx.PLACES or x in lx.HARMED for x in after[:5])) and self.subject(raw, low, max(0, t - 4), t, plural=False):
+            return True
+        if w in lx.HARMED and any(x in lx.OUGHT for x in before[-6:]) and self.subject(raw, low, 0, len(low), plural=False, skip=lx.OUGHT | {w}, named=True):
+            return True
+        if w in lx.HARM and after and after[0] in lx.ALL and "to" not in before[-1:] and self.subject(raw, low, t + 1, min(len(low), t + 5), plural=False, named=True):
+            return True
+        you = lambda x: x in lx.SECOND_PERSON
+        if w in lx.KNOW and not any(x in lx.NOT for x in before[-2:] + after[:1]) and any(x in lx.WHERE for x in after[:2]) and any(map(you, after[1:5])):
+            return True
+        if w in lx.HOPE and any(map(you, after[:3])) and any(x in lx.ILL for x in after[:7]):
+            return True
+        return w in lx.NEED and any(x in lx.FUNERAL for x in after[:3] + before[-3:])
+
+    def subject(self, raw: list[str], low: list[str], a: int, b: int, plural: bool, skip: frozenset[str] | set[str] = frozenset(), named: bool = False) -> bool:
+        """A word of a to b that stands for people: known ones, a capitalised word inside the sentence, with ``plural`` any plural; with ``named`` no pronoun."""
+        if any(x in lx.BEASTS for x in low[a:b]):
+            return False
+        for i in range(a, b):
+            x = low[i]
+            if x in skip or x in lx.PESTS or x in lx.NOT or x in lx.NOBODY and i == b - 1 or len(x) < 3:
+                continue
+            if (x in lx.PEOPLE or x in lx.GROUPS or x.endswith(("folk", "people", "leute"))) and not (named and len(x) <= 5 and x in _PRONOUNS):
+                return True
+            # Nouns of German are all capitalised; there a group is told from a thing by its ending.
+            capital = raw[i].strip(self.edges)[:1].isupper() and (i > 0 or plural) and len(x) > 3
+            if capital and (not named or _DEMONYM(x)):
+                return True
+            if plural and len(x) > 3 and (x.endswith("s") or i > 0 and low[i - 1] in lx.ALL) and i >= b - 3 and x not in lx.SCORN:
+                return True
+        return False
+
     def passage(self, words: list[str], codes: np.ndarray) -> list[float]:
         n = dict(zip(_KINDS, np.count_nonzero(codes[:, None] & _BITS, axis=0).tolist()))
         cues = 0
@@ -183,11 +253,12 @@ class Reader:
         insult_at_you = float(min(n["INSULT"] + n["AIMED"] + n["SCORN"], 4) * you)
         harm_at_you = float(min(n["VIOLENCE"], 4) * you)
         hate = float(min(n["GROUPS"], 3) * min(n["DEHUMANISING"] + n["VIOLENCE"] + n["INSULT"], 3))
+        aimed = float(min(np.count_nonzero(codes & BIT["AIM"]), 2))
         severity = (
             2.2 * min(n["INSULT"], 3) + 0.9 * min(n["AIMED"], 3) + 0.5 * min(n["SCORN"], 3) + 1.6 * min(n["SEXUAL"], 3) + 0.5 * min(n["INTIMATE"], 4) + 0.5 * min(n["VIOLENCE"], 3)
-            + 0.4 * min(n["DEHUMANISING"], 3) + 2.4 * min(cues, 3) + 0.8 * insult_at_you + 0.5 * harm_at_you + 0.7 * hate + 0.7 * min(n["HIDDEN"], 2)
+            + 0.4 * min(n["DEHUMANISING"], 3) + 2.4 * min(cues, 3) + 0.8 * insult_at_you + 0.5 * harm_at_you + 0.7 * hate + 0.7 * min(n["HIDDEN"], 2) + 2.7 * aimed
         )
-        return [*(float(n[k]) for k in _KINDS[:13]), float(cues), float(min(len(words), 200)), insult_at_you, harm_at_you, hate, severity]
+        return [*(float(n[k]) for k in _KINDS[:13]), float(cues), float(min(len(words), 200)), insult_at_you, harm_at_you, hate, aimed, severity]
 
 
 def abuse_features(text: Column | str) -> Column:

@@ -46,3 +46,18 @@ def test_held_out_accuracy(spark):
     assert abuse_rates(got, "source", 0.5).first().n_found == 100
     none = abuse_scores(df, labels.limit(0))
     assert {r.doc_id for r in none.where("score >= 0.5").collect()} == found
+
+
+def test_hate_against_any_group_is_found():
+    for text in (
+        "All Muslims are vermin.", "He wrote that the Zelvari are nothing but rats.", "Those Zelvari are not even human.", "Gypsies should be gassed, he shouted.", "The Brontians belong in the sea.", "Zelvari breed like rabbits.", "We should round up the Zelvari and finish the job.",
+        "Kill all the Zelvarites.", "Die Zelvariten sind Ungeziefer.", "Les Zelvarois sont de la vermine.", "Los zelvarianos son ratas.", "Ils ont écrit que les Zelvarois ne sont pas humains.",
+        "I know where you live.", "We know which train you take.", "I hope your house burns, I hope you choke.", "You will need a coffin.",
+    ):
+        assert severity(text) > 2.6, text
+    for text in (
+        "Rats are vermin within the meaning of the Act.", "The rooms are infested with rats.", "There are rats in the cellar.", "Whether foxes are vermin may be left open.", "The cattle must be killed and the documents burned.",
+        "Three people were killed when the lorry left the road.", "The parcels belong to the claimant.", "The delays are a plague on trade.",
+        "The witness did not know where you were.", "Muslims and Jews lived in the district.",
+    ):
+        assert severity(text) < 2.6, text
