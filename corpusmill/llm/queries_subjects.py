@@ -49,6 +49,14 @@ def trusted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.withColumn("_norm", norm("subject")).join(labels.select("id", "_norm"), ["id", "_norm"], "left_semi").select("id", "subject")
 
 
+def audited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of audit50_v21_sample, a hint for papers without a stored one: ``id``, ``subject``."""
+    labels = load(spark, sf_dir, "audit50_v21_sample").select(key("id").alias("id"), norm("thematic_area").alias("_norm"), F.coalesce("unclassifiable", F.lit(False)).alias("outside"), "labelled_at")
+    areas = _areas(spark, sf_dir)
+    joined = latest(labels, ["id"], ["labelled_at"]).join(_local(areas.select(norm("name").alias("_norm"), "name")), "_norm", "left")
+    return joined.select("id", F.when(F.col("outside"), OUTSIDE).otherwise(F.col("name")).alias("subject")).where("id IS NOT NULL AND subject IS NOT NULL")
+
+
 def taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The taxonomy's own words as documents, one per domain in use, like ``papers``."""
     areas = _areas(spark, sf_dir)
@@ -66,7 +74,7 @@ def p5_areas(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Areas of each paper with their sentences and share of the abstract."""
     own = taxonomy(spark, sf_dir)
     seeds = trusted(spark, sf_dir).unionByName(own.select("id", F.col("hint").alias("subject")))
-    found = propagate_subjects(papers(spark, sf_dir).unionByName(own), seeds, order="version")
+    found = propagate_subjects(papers(spark, sf_dir).unionByName(own), seeds, audited(spark, sf_dir), order="version")
     return chosen_subjects(found.where(~F.col("id").startswith(_TAXONOMY))).select(F.col("id").alias("paper_id"), F.col("subject").alias("thematic_area"), "n_sentences", "share")
 
 

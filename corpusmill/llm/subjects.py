@@ -81,22 +81,29 @@ def _by_document(values: np.ndarray, document: np.ndarray, n: int) -> pd.Series:
     return pd.Series(np.split(values, np.searchsorted(document, np.arange(1, n)))) if n else pd.Series([], dtype=object)
 
 
-def term_counts(documents: DataFrame, title: str, text: str, subject: str) -> DataFrame:
-    """Occurrences ``n`` of each ``term`` by ``subject``: counted per batch in the task, then added up."""
+def common_terms(documents: DataFrame, title: str, text: str, least: int = 2) -> DataFrame:
+    """Each ``term`` of at least ``least`` rows: counted per batch in the task, then added up."""
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         terms = Terms()
         for batch in batches:
             term, document, _ = terms.batch(batch["_title"], batch["_text"])
-            codes, names = pd.factorize(batch["subject"])
-            code = codes[document]
-            order = np.lexsort((code, term))
-            term, code = term[order], code[order]
-            starts = np.flatnonzero(np.r_[True, (np.diff(term) != 0) | (np.diff(code) != 0)]) if len(term) else np.zeros(0, dtype="int64")
-            yield pd.DataFrame({"term": term[starts], "subject": np.asarray(names, dtype=object)[code[starts]], "n": np.diff(np.r_[starts, len(term)]).astype("float64")})
+            order = np.lexsort((document, term))
+            term, document = term[order], document[order]
+            new = np.r_[True, (np.diff(term) != 0) | (np.diff(document) != 0)] if len(term) else np.zeros(0, dtype=bool)
+            each, n = np.unique(term[new], return_counts=True)
+            yield pd.DataFrame({"term": each, "n": n.astype("int64")})
 
-    rows = documents.select(F.col(title).alias("_title"), F.col(text).alias("_text"), F.col(subject).alias("subject"))
-    return rows.mapInPandas(counted, "term long, subject string, n double").groupBy("term", "subject").agg(F.sum("n").alias("n"))
+    rows = documents.select(F.col(title).alias("_title"), F.col(text).alias("_text"))
+    return rows.mapInPandas(counted, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("term")
+
+
+def _collected(df: DataFrame, what: str):
+    """At most MAX_TERMS rows as an Arrow table."""
+    table = df.limit(MAX_TERMS + 1).toArrow()
+    if table.num_rows > MAX_TERMS:
+        raise ValueError(f"more than {MAX_TERMS} {what}")
+    return table
 
 
 def document_hits(title: str, text: str, known: np.ndarray) -> Column:
@@ -189,19 +196,21 @@ def term_subjects(counts: DataFrame, *, least: float = 2.5, purity: float = 0.5)
 
 
 def propagate_subjects(
-    documents: DataFrame, seeds: DataFrame | None = None, *, id_col: str = "id", title: str = "title", text: str = "text", hint: str = "hint", order: str | None = None, rounds: int = 2,
-    least_first: float = 4.0, purity_first: float = 0.3, purity: float = 0.5, seed_weight: float = 5.0,
+    documents: DataFrame, seeds: DataFrame | None = None, hints: DataFrame | None = None, *, id_col: str = "id", title: str = "title", text: str = "text", hint: str = "hint", order: str | None = None, rounds: int = 10,
+    tolerance: float = 0.01, least_first: float = 4.0, purity_first: float = 0.3, purity: float = 0.5, seed_weight: float = 5.0,
 ) -> DataFrame:
     """Subjects of each document: ``id_col``, ``subject``, ``n_sentences`` (the title is one), ``n_text`` (sentences of the text), ``share`` (of the text's sentences that count).
 
     Two documents are neighbours if they share a verified term, a word or pair of words whose documents'
     labels agree; the more and purer the shared terms, the nearer. The graph is kept as its
-    document-term incidence, so a term with millions of documents never becomes pairs. Labels
-    start from ``hint`` (a column of ``documents``, may be null or wrong). A round takes them from documents to
-    terms (explode, aggregate by term and subject) and from terms back to documents (join of the
+    document-term incidence, so a term with millions of documents never becomes pairs. It has the terms of
+    all documents, with or without a hint, that are in at least two. Labels
+    start from ``hint`` (a column of ``documents``, may be null or wrong), else from ``hints`` (``id_col``, ``subject``). A round takes them from documents to
+    terms (explode, aggregate by term and subject), verifies the terms anew, and takes them from terms back to documents (join of the
     incidence with the term table), each sentence taking its weightiest subject. Hints are often wrong,
     so the first check of terms is mild (``purity_first``, far above an even spread) and later ones,
-    on propagated labels, stricter (``purity``).
+    on propagated labels, stricter (``purity``). Rounds end when no more than ``tolerance`` of the verified terms
+    change their subject, come or go, after ``rounds`` at the latest.
     ``seeds`` (``id_col``, ``subject``) are trusted: they are clamped in every round, with ``seed_weight``. Other
     documents keep all subjects that their sentences have, by share. The result is read from
     the graph for seeds too.
@@ -211,37 +220,43 @@ def propagate_subjects(
     """
     spark = documents.sparkSession
     version = F.struct(*([F.col(order).alias("o")] if order else []), F.xxhash64(title, text).alias("h"))
-    first = term_counts(documents.where(F.col(hint).isNotNull()), title, text, hint)
-    rows = require_at_most(term_subjects(first, least=least_first, purity=purity_first), MAX_TERMS, "verified terms")
-    rows.sort(key=lambda r: r.term)
-    known = np.array([r.term for r in rows], dtype="int64")
+    known = np.sort(_collected(common_terms(documents, title, text), "terms").column("term").to_numpy())
 
-    versions = documents.select(F.col(id_col).alias("_id"), version.alias("_v"), document_hits(title, text, known).alias("_hits"), F.lit(None).cast("string").alias("_seed"))
+    none = F.lit(None).cast("string")
+    versions = documents.select(F.col(id_col).alias("_id"), version.alias("_v"), document_hits(title, text, known).alias("_hits"), none.alias("_seed"), F.col(hint).alias("_hint"), none.alias("_other"))
     nothing = [F.lit(None).cast(versions.schema[c].dataType).alias(c) for c in ("_v", "_hits")]
     if seeds is not None:
-        versions = versions.unionByName(seeds.select(F.col(id_col).alias("_id"), *nothing, F.col("subject").alias("_seed")))
+        versions = versions.unionByName(seeds.select(F.col(id_col).alias("_id"), *nothing, F.col("subject").alias("_seed"), none.alias("_hint"), none.alias("_other")))
+    if hints is not None:
+        versions = versions.unionByName(hints.select(F.col(id_col).alias("_id"), *nothing, none.alias("_seed"), none.alias("_hint"), F.col("subject").alias("_other")))
     # One shuffle, of packed term numbers; the text is no part of it. Rows of one id are reduced before it as well.
-    incidence = cut(versions.groupBy("_id").agg(F.max_by("_hits", "_v").alias("_hits"), F.min("_seed").alias("_seed")).where("_hits IS NOT NULL"))
-    named = {r.subject for r in rows} | {r[0] for r in require_at_most(incidence.select("_seed").distinct(), MAX_SUBJECTS, "subjects")}
+    read_hint = F.coalesce(F.max_by("_hint", F.when(F.col("_hint").isNotNull(), F.col("_v"))), F.min("_other"))
+    incidence = cut(versions.groupBy("_id").agg(F.max_by("_hits", "_v").alias("_hits"), F.min("_seed").alias("_seed"), read_hint.alias("_hint")).where("_hits IS NOT NULL"))
+    named = {x for r in require_at_most(incidence.select("_seed", "_hint").distinct(), MAX_SUBJECTS, "subjects") for x in r}
     names = sorted(x for x in named if x is not None)
     codes = {s: i for i, s in enumerate(names)}
     if not names:
         return spark.createDataFrame([], f"{id_col} string, subject string, n_sentences int, n_text int, share double")
-    seed_code = F.coalesce(*[F.when(F.col("_seed") == s, i) for s, i in codes.items()])
+    coded = lambda c: F.coalesce(*[F.when(F.col(c) == s, i) for s, i in codes.items()])
+    one = lambda c, w: F.array(F.struct(c.alias("subject"), F.lit(w).alias("n")))
 
-    code = np.array([codes[r.subject] for r in rows], dtype="int32")
-    weight = np.array([r.weight for r in rows], dtype="float64")
+    def verified(labelled: DataFrame, least: float, purity: float) -> tuple[np.ndarray, np.ndarray]:
+        spread = labelled.select("_hits", F.explode("_l").alias("_l"))
+        spread = spread.select(F.explode(F.array_distinct(F.transform("_hits", lambda h: h.bitwiseAND(F.lit(_MASK))))).alias("term"), "_l.subject", "_l.n").groupBy("term", "subject").agg(F.sum("n").alias("n"))
+        rows = _collected(term_subjects(spread, least=least, purity=purity), "verified terms")
+        code, weight, at = np.full(len(known), -1, dtype="int32"), np.zeros(len(known)), rows.column("term").to_numpy()
+        code[at], weight[at] = rows.column("subject").to_numpy(), rows.column("weight").to_numpy()
+        return code, weight
+
+    code, weight = verified(incidence.where("_hint IS NOT NULL").select("_hits", one(coded("_hint"), 1.0).alias("_l")), least_first, purity_first)
     for _ in range(rounds):
-        read = incidence.select("_hits", seed_code.alias("_seed"), F.transform(sentence_subjects("_hits", code, weight), _unpacked).alias("_r"))
+        read = incidence.select("_hits", coded("_seed").alias("_seed"), F.transform(sentence_subjects("_hits", code, weight), _unpacked).alias("_r"))
         total = F.aggregate("_r", F.lit(0), lambda s, x: s + x["n"])
         own = F.transform("_r", lambda x: F.struct(x["code"].alias("subject"), (x["n"] / total).alias("n")))
-        clamped = F.array(F.struct(F.col("_seed").alias("subject"), F.lit(seed_weight).alias("n")))
-        spread = read.select("_hits", F.when(F.col("_seed").isNotNull(), clamped).otherwise(own).alias("_l")).select("_hits", F.explode("_l").alias("_l"))
-        spread = spread.select(F.explode(F.array_distinct(F.transform("_hits", lambda h: h.bitwiseAND(F.lit(_MASK))))).alias("term"), "_l.subject", "_l.n").groupBy("term", "subject").agg(F.sum("n").alias("n"))
-        rows = require_at_most(term_subjects(spread, purity=purity), MAX_TERMS, "verified terms")
-        code, weight = np.full(len(known), -1, dtype="int32"), np.zeros(len(known))
-        for r in rows:
-            code[r.term], weight[r.term] = r.subject, r.weight
+        before = code
+        code, weight = verified(read.select("_hits", F.when(F.col("_seed").isNotNull(), one(F.col("_seed"), seed_weight)).otherwise(own).alias("_l")), 2.5, purity)
+        if np.count_nonzero(code != before) <= tolerance * np.count_nonzero(code >= 0):
+            break
     read = incidence.select("_id", F.explode(sentence_subjects("_hits", code, weight)).alias("_x")).select("_id", _unpacked(F.col("_x")).alias("_r"))
     total = F.sum("_r.n_text").over(W.partitionBy("_id"))
     label = F.element_at(F.array(*map(F.lit, names)), F.col("_r.code") + 1)

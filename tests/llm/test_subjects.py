@@ -69,3 +69,22 @@ def test_leading_subject_is_kept(spark):
     ]
     got = chosen_subjects(spark.createDataFrame(rows, "id string, subject string, n_sentences int, n_text int, share double"))
     assert sorted((r.id, r.subject) for r in got.collect()) == [("both", "A"), ("each", "B"), ("one", "B"), ("title", "A"), ("two", "A"), ("two", "B")]
+
+
+def chain(hinted):
+    """Three groups of one subject, each sharing words with the next only, beside other subjects."""
+    words = ["qualpha", "qubeta", "qugamma", "qudelta"]
+    rows = [(f"c{g}-{i}", f"On {words[g]}", f"We discuss the {words[g]} here. We discuss the {words[g + 1]} here.", "history" if g == 0 and hinted else None, 1) for g in range(3) for i in range(12)]
+    others = {"physics": "boson", "botany": "petal", "law": "tortious", "music": "sonata"}
+    return rows + [(f"{s[0]}{i}" if s != "physics" else f"p{i}", f"On {w}", f"We discuss the {w} here. We discuss the {w} here.", s, 1) for s, w in others.items() for i in range(12)]
+
+
+def test_labels_travel_between_documents_without_hints(spark):
+    got = {(r.id, r.subject) for r in propagate_subjects(spark.createDataFrame(chain(True), SCHEMA), order="at").collect()}
+    assert {i for i, s in got if s == "history"} >= {f"c{g}-{i}" for g in range(3) for i in range(12)}
+
+
+def test_other_hints_count_where_the_stored_one_is_absent(spark):
+    hints = spark.createDataFrame([(f"c0-{i}", "history") for i in range(12)] + [("p0", "history")], "id string, subject string")
+    got = {(r.id, r.subject) for r in propagate_subjects(spark.createDataFrame(chain(False), SCHEMA), None, hints, order="at").collect()}
+    assert ("c0-3", "history") in got and {s for i, s in got if i == "p0"} == {"physics"}
