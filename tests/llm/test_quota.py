@@ -3,7 +3,8 @@ from collections import Counter
 
 import pytest
 
-from corpusmill.llm.quota import divisor_sample, quota_report
+from compare import DATA
+from corpusmill.llm.quota import divisor_ranks, divisor_sample, quota_report
 
 
 def brute(records, targets, size):
@@ -27,8 +28,12 @@ def test_seats_equal_brute_force(spark, size, slice_rows):
     rows = drawn.collect()
     assert Counter(r.target_id for r in rows) == brute(records, targets, size)
     assert len({r.id for r in rows}) == len(rows)
-    report = {r.target_id: r for r in quota_report(df, goals, drawn).collect()}
-    assert len(report) == 5 and not report[5].is_met and report[5].n_drawn == 0 and not report[3].is_met
+    report = {r.target_id: r for r in quota_report(divisor_ranks(df, goals, salts=4, slice_rows=slice_rows), goals).collect()}
+    assert len(report) == 5 and not report[5].is_met and report[5].n_drawn == 0
+    seats = brute(records, targets, size)
+    for t, share, floor in targets:
+        r = report[t]
+        assert (r.n_available, r.n_drawn, r.is_met) == (records.get(t, 0), seats[t], records.get(t, 0) >= max(floor, share * size))
 
 
 def test_sample_is_random_but_repeatable(spark):
@@ -44,7 +49,7 @@ def test_empty(spark):
     goals = spark.createDataFrame([(1, None, None, 30)], "target_id int, target_share double, min_rows int, sample_size int")
     df = spark.createDataFrame([], "id string, target_id int")
     assert divisor_sample(df, goals).count() == 0
-    assert quota_report(df, goals).first().is_met
+    assert quota_report(divisor_ranks(df, goals), goals).first().is_met
 
 
 def test_clashing_columns_nulls_and_repeats(spark):
@@ -52,3 +57,11 @@ def test_clashing_columns_nulls_and_repeats(spark):
     goals = spark.createDataFrame([(1, 1.0, 0, 30)], "target_id int, target_share double, min_rows int, sample_size int")
     drawn = divisor_sample(df, goals)
     assert drawn.columns == ["id", "target_id", "_salt", "rank", "priority"] and sorted(r["rank"] for r in drawn.collect()) == [1, 2, 3]
+
+
+def test_found_lines_come_through_the_ranking(spark):
+    """The plan of p2_found ranks all records and draws the sample; a plain count would not."""
+    from corpusmill.llm.queries_quota import p2_found
+
+    plan = p2_found(spark, DATA)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("row_number()") >= 2 and "_slice" in plan
