@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from ..functions.text import key
 from ..operators.distributed import group_running_sum, replicate, require_at_most, salt_of
 
-#: Sources a plan may name, and blocks a schedule may have; both are held by the driver.
+#: Sources a plan, a control table, may name.
 MAX_SOURCES = 10_000
-MAX_BLOCKS = 20_000
+#: Parts of the mix in which weights are expressed; the longest period of a schedule.
+RESOLUTION = 100_000
 
 
 def mix_uses(sizes: DataFrame, plan: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", size_col: str = "n_tokens", salts: int = 64) -> DataFrame:
@@ -69,26 +70,9 @@ def source_totals(docs: DataFrame, lines: DataFrame) -> DataFrame:
         .withColumn("source_tokens", F.coalesce("source_tokens", F.lit(0)))
         .withColumn("n_documents", F.coalesce("n_documents", F.lit(0)))
         .withColumn("full_passes", F.least(fits, F.col("max_repeats").cast("long")).cast("int"))
-        .withColumn("falls_short", F.col("source_tokens") * F.col("max_repeats") < F.col("target_tokens"))
     )
 
 
-def mix_shares(uses: DataFrame, plan: DataFrame) -> DataFrame:
-    """Per plan line: target and actual share of the mix, tokens, the largest number of uses, and whether the source falls short."""
-    got = uses.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("n_uses")).alias("used_tokens"), F.max("n_uses").alias("most_uses"), F.max("source_tokens").alias("source_tokens"))
-    joined = plan_lines(plan).join(got, "source", "left")
-    tokens = F.coalesce("used_tokens", F.lit(0))
-    return (
-        joined.withColumn("used_tokens", tokens)
-        .join(got.agg(F.sum("used_tokens").alias("_all")), how="cross")  # one row
-        .select(
-            "source", "target_share", F.coalesce(F.col("used_tokens") / F.nullif(F.col("_all"), F.lit(0)), F.lit(0.0)).alias("actual_share"),
-            F.round("target_tokens").cast("long").alias("target_tokens"), "used_tokens", F.coalesce("source_tokens", F.lit(0)).alias("source_tokens"), F.coalesce("most_uses", F.lit(0)).alias("most_uses"),
-            (F.coalesce("source_tokens", F.lit(0)) * F.col("max_repeats") < F.col("target_tokens")).alias("falls_short"),
-        )
-    )
-
-
 def pfair_slots(blocks: dict[str, int]) -> list[tuple[str, int, int]]:
     """(source, block, slot): earliest deadline first among released blocks.
 
@@ -115,23 +99,57 @@ def pfair_slots(blocks: dict[str, int]) -> list[tuple[str, int, int]]:
     return out
 
 
-def mix_order(uses: DataFrame, *, id_col: str = "doc_id", max_blocks: int = MAX_BLOCKS, salts: int = 16) -> DataFrame:
+def weights(plan: DataFrame, resolution: int = RESOLUTION) -> dict[str, int]:
+    """Slots of each source in one period of the schedule: its target share in parts of 1/``resolution``, without common factors.
+
+    Shares of up to five decimals are exact at the default. A positive share gets a slot at least.
+    """
+    rows = require_at_most(plan_lines(plan).select("source", "target_share").where("target_share > 0"), MAX_SOURCES, "sources of the plan")
+    parts = {r.source: max(1, round(r.target_share * resolution)) for r in rows}
+    common = math.gcd(*parts.values()) if parts else 1
+    return {s: n // common for s, n in parts.items()}
+
+
+def mix_order(uses: DataFrame, plan: DataFrame, *, id_col: str = "doc_id", block_tokens: int = 1, resolution: int = RESOLUTION, salts: int = 16) -> DataFrame:
     """The mix as a stream: one row per use of a document, with the slot of its block and its place in the block.
 
-    Out: ``id_col``, ``source``, ``copy`` (from 0), ``n_tokens``, ``slot``, ``offset``; reading by (slot, offset)
-    gives a stream in which every source is less than one block from its share. A block holds at
-    least 1/``max_blocks`` of the mix, so the schedule is small whatever the number of documents.
-    ``uses`` is read twice: pass a table or a checkpoint.
+    Out: ``id_col``, ``source``, ``copy`` (from 0), ``n_tokens``, ``source_tokens``, ``block``, ``slot``, ``offset``; read by (slot, offset).
+    A source's uses follow each other, pass by pass; cut into blocks of ``block_tokens``, or of the largest
+    document if that is more, a document belongs to the block in which it starts. Blocks get slots
+    earliest deadline first (``pfair_slots``) from the target weights. At the end of every slot a
+    source that has not run out is less than one block from its share of the slots, and so its tokens are less than one
+    block and one document from its share of the tokens; slots of sources that ran out stay empty.
+
+    Weights are whole numbers of slots in a period, at whose end every source has exactly its share. So the
+    schedule repeats: one period is scheduled, its length bound by ``resolution`` whatever the size of the mix,
+    and a block finds its slot by arithmetic and one lookup. ``uses`` is read twice: pass a table or a checkpoint.
     """
     spark = uses.sparkSession
-    per = require_at_most(uses.where("n_uses > 0").groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("n_uses")).alias("t")), MAX_SOURCES, "sources of the plan")
-    total = sum(r.t for r in per)
-    block = max(1, math.ceil(total / max(1, max_blocks - len(per))))
-    slots = pfair_slots({r.source: max(1, -(-r.t // block)) for r in per})
-    schedule = spark.createDataFrame(slots, "source string, block long, slot long")
-    last = spark.createDataFrame([(r.source, max(1, -(-r.t // block)) - 1) for r in per], "source string, last long")
-    each = uses.where("n_uses > 0").select(id_col, "source", "n_tokens", "before", "source_tokens", F.explode(F.sequence(F.lit(0), F.col("n_uses") - 1)).alias("copy"))
+    used = uses.where("n_uses > 0")
+    block = max(1, block_tokens, used.agg(F.max("n_tokens")).first()[0] or 0)
+    slots = weights(plan, resolution)
+    period = sum(slots.values())
+    schedule = spark.createDataFrame(pfair_slots(slots), "source string, _place long, _slot long")
+    per = spark.createDataFrame(list(slots.items()), "source string, _per long")
+    each = used.select(id_col, "source", "n_tokens", "before", "source_tokens", F.explode(F.sequence(F.lit(0), F.col("n_uses") - 1)).alias("copy"))
     at = F.col("copy") * F.col("source_tokens") + F.col("before")
-    placed = each.withColumn("_at", at).withColumn("_salt", salt_of(["source", id_col, "copy"], salts))
-    placed = placed.join(replicate(last, salts), ["source", "_salt"]).withColumn("block", F.least(F.floor(F.col("_at") / block), F.col("last")))
-    return placed.join(schedule, ["source", "block"]).select(id_col, "source", "copy", "n_tokens", "slot", (F.col("_at") - F.col("block") * block).alias("offset"))
+    # At most MAX_SOURCES rows and resolution + MAX_SOURCES rows.
+    placed = each.withColumn("_at", at).withColumn("block", F.floor(at / block)).join(F.broadcast(per), "source").withColumn("_place", F.pmod("block", "_per"))
+    placed = placed.join(F.broadcast(schedule), ["source", "_place"])
+    slot = F.floor(F.col("block") / F.col("_per")) * period + F.col("_slot")
+    return placed.select(id_col, "source", "copy", "n_tokens", "source_tokens", "block", slot.alias("slot"), (F.col("_at") - F.col("block") * block).alias("offset"))
+
+
+def mix_shares(order: DataFrame, uses: DataFrame, plan: DataFrame) -> DataFrame:
+    """Per plan line, from the scheduled mix: target and actual share, tokens, blocks, last slot, the largest number of uses, and whether the source falls short.
+
+    A source falls short if its scheduled tokens end below the target although every document is used as often as it may be.
+    """
+    got = order.groupBy("source").agg(F.sum("n_tokens").alias("used_tokens"), (F.max("copy") + 1).alias("most_uses"), (F.max("block") + 1).alias("n_blocks"), F.max("slot").alias("last_slot"))
+    sizes = uses.groupBy("source").agg(F.max("source_tokens").alias("source_tokens"))
+    joined = plan_lines(plan).join(got, "source", "left").join(sizes, "source", "left").fillna(0, ["used_tokens", "most_uses", "n_blocks", "source_tokens"])
+    return joined.join(got.agg(F.sum("used_tokens").alias("_all")), how="cross").select(  # one row
+        "source", "target_share", F.coalesce(F.col("used_tokens") / F.nullif(F.col("_all"), F.lit(0)), F.lit(0.0)).alias("actual_share"),
+        F.round("target_tokens").cast("long").alias("target_tokens"), "used_tokens", "source_tokens", "most_uses", "n_blocks", "last_slot",
+        ((F.col("used_tokens") < F.col("target_tokens")) & (F.col("source_tokens") * F.col("max_repeats") <= F.col("used_tokens"))).alias("falls_short"),
+    )

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.distributed import cut, group_rank, require_at_most
+from ..operators.distributed import group_rank, require_at_most
 
 #: The plan has at most one entry per size, so the capacity bounds what the driver holds.
 MAX_CAPACITY = 1 << 20
@@ -156,5 +156,7 @@ def fill_report(packed: DataFrame, capacity: int) -> DataFrame:
     )
 
 
-def checkpointed_sizes(sizes: DataFrame) -> DataFrame:
-    return cut(sizes)
+def split_documents(packed: DataFrame, *, id_col: str = "doc_id") -> DataFrame:
+    """Documents whose pieces were placed in more than one container, and the first and last of these."""
+    placed = packed.groupBy(id_col).agg(F.min("container").alias("first_container"), F.max("container").alias("last_container"))
+    return placed.where("first_container <> last_container")

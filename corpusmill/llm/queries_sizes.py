@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.distributed import cut, require_at_most
 from ..sources.tables import load
 from .mixing import mix_order, mix_shares, mix_uses
-from .packing import fill_report, pack
+from .packing import fill_report, pack, split_documents
 from .tokens import sized
 
 
@@ -23,7 +23,7 @@ def p6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return p6_pack(spark, sf_dir).where((F.col("n_pieces") > 1) & (F.col("piece") == 0)).select("doc_id")
+    return split_documents(p6_pack(spark, sf_dir)).select("doc_id")
 
 
 def p6_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +40,8 @@ def p7_uses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix_shares(cut(_uses(spark, sf_dir)), load(spark, sf_dir, "mix_plan"))
+    uses, plan = cut(_uses(spark, sf_dir)), load(spark, sf_dir, "mix_plan")
+    return mix_shares(mix_order(uses, plan), uses, plan)
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +50,7 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mix as a stream, earliest deadline first."""
-    return mix_order(cut(_uses(spark, sf_dir)))
+    return mix_order(cut(_uses(spark, sf_dir)), load(spark, sf_dir, "mix_plan"))
 
 
 QUERIES = {"p6_found": p6_found, "p6_pack": p6_pack, "p6_fill": p6_fill, "p7_found": p7_found, "p7_shares": p7_shares, "p7_uses": p7_uses, "p7_mix": p7_mix}

@@ -5,8 +5,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from compare import DATA
 from corpusmill.llm.mixing import mix_order, mix_shares, mix_uses, pfair_slots
 from corpusmill.llm.packing import fill_report, pack, plan_containers
+from corpusmill.llm.queries_sizes import p6_found, p7_found
 from corpusmill.llm.tokens import Counter as TokenCounter
 from corpusmill.llm.tokens import count_tokens, vocabulary_path
 from corpusmill.operators.distributed import cut
@@ -74,12 +76,12 @@ def test_mix_uses_and_order(spark):
     lines = plan(spark, [("A", 0.5, 3, 2_000), ("b", 0.4, 4, 2_000), ("nowhere", 0.1, 9, 2_000)])
     uses = cut(mix_uses(df, lines, salts=3))
     assert uses.count() == len(docs)
-    shares = {r.source: r for r in mix_shares(uses, lines).collect()}
+    shares = {r.source: r for r in mix_shares(mix_order(uses, lines), uses, lines).collect()}
     assert shares["A"].used_tokens == 1_000 and not shares["A"].falls_short
     assert shares["b"].used_tokens == 280 and shares["b"].falls_short and shares["b"].most_uses == 4
     assert shares["nowhere"].falls_short and shares["nowhere"].used_tokens == 0
     assert uses.where("source in ('c', '')").agg(F.sum("n_uses")).first()[0] == 0
-    order = mix_order(uses, max_blocks=50).collect()
+    order = mix_order(uses, lines).collect()
     assert sum(r.n_tokens for r in order) == 1_280
     assert len({(r.doc_id, r.copy) for r in order}) == len(order)
 
@@ -87,7 +89,45 @@ def test_mix_uses_and_order(spark):
 def test_mix_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, source string, n_tokens int")
     lines = plan(spark, [("A", 0.5, 3, 100), (None, 0.5, 3, 100)])
-    assert [r.falls_short for r in mix_shares(mix_uses(df, lines), lines).collect()] == [True]
+    uses = mix_uses(df, lines)
+    assert [r.falls_short for r in mix_shares(mix_order(uses, lines), uses, lines).collect()] == [True]
+
+
+def test_target_below_the_first_document_is_no_shortfall(spark):
+    df = cut(spark.createDataFrame([(1, "a", 1_000), (2, "b", 0), (3, "c", 5)], "doc_id long, source string, n_tokens int"))
+    lines = plan(spark, [("a", 0.01, 1, 1_000), ("b", 0.5, 3, 1_000), ("c", 0.0, 3, 1_000), ("d", 0.49, 0, 1_000)])
+    uses = cut(mix_uses(df, lines))
+    assert {r.source: r.falls_short for r in mix_shares(mix_order(uses, lines), uses, lines).collect()} == {"a": False, "b": True, "c": False, "d": True}
+
+
+@pytest.mark.parametrize("block_tokens", [1, 500])
+def test_stream_is_within_a_block_and_a_document(spark, block_tokens):
+    """The deviation of whole documents in the stream itself, over several periods of the schedule."""
+    sizes = [(i, "abc"[i % 3], 1 + (i * i * 7919) % 97) for i in range(6_000)]
+    df = cut(spark.createDataFrame(sizes, "doc_id long, source string, n_tokens int"))
+    share = {"a": 0.5, "b": 0.3, "c": 0.2}
+    lines = plan(spark, [(s, w, 9, 280_000) for s, w in share.items()])
+    order = mix_order(cut(mix_uses(df, lines, salts=3)), lines, block_tokens=block_tokens).collect()
+    largest = max(n for _, _, n in sizes)
+    block = max(largest, block_tokens)
+    done, last = Counter(), max(r.slot for r in order)
+    by_slot = {}
+    for r in order:
+        by_slot.setdefault(r.slot, []).append(r)
+        assert 0 <= r.offset < block
+    assert last > 3 * 10  # several periods of ten slots
+    for slot in range(last - 10):
+        for r in by_slot.get(slot, []):
+            done[r.source] += r.n_tokens
+        assert all(abs(done[s] - w * block * (slot + 1)) < block + largest for s, w in share.items())
+        assert len({r.source for r in by_slot.get(slot, [])}) <= 1
+
+
+def test_found_rows_come_through_placement_and_schedule(spark):
+    """The plans of p6_found and p7_found hold the placement in containers and the lookup of slots."""
+    text = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number()" in text(p6_found(spark, DATA)) and "container(" in text(p6_found(spark, DATA))
+    assert "_place" in text(p7_found(spark, DATA))
 
 
 @pytest.mark.parametrize("capacity", [0, 1 << 21])
