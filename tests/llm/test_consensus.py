@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from corpusmill.llm.consensus import consensus, named_spans, spectral_reliability, weighted_votes
@@ -33,23 +34,38 @@ def test_reliability_and_labels(spark):
     assert len(final) == len(majority) and right(final) > 1.1 * right(majority) and right(final) >= 0.98 * right(best)
 
 
-def test_factored_iteration_equals_the_matrix(spark):
-    _, rows = crowd({"a": 0.9, "b": 0.6, "c": 0.3}, items=60)
+@pytest.mark.parametrize("most_votes", [2, 3, 64])
+def test_vector_equals_that_of_the_matrix(spark, most_votes):
+    """Pair table, factored form of crowded items and both together give the leading eigenvector of the dense matrix."""
+    _, rows = crowd({"a": 0.9, "b": 0.6, "c": 0.3, "d": 0.8}, items=60)
     votes = spark.createDataFrame(rows, "item string, annotator string, label string")
-    got = {r.annotator: r.centred for r in spectral_reliability(votes, LABELS, rounds=3, tolerance=0).collect()}
-    names = ["a", "b", "c"]
+    got = {r.annotator: r for r in spectral_reliability(votes, LABELS, tolerance=1e-6, most_votes=most_votes).collect()}
+    names = ["a", "b", "c", "d"]
     by = {n: {i: x for i, m, x in rows if m == n} for n in names}
     share = {n: np.array([list(by[n].values()).count(k) for k in LABELS]) / len(by[n]) for n in names}
-    m, n = np.zeros((3, 3)), np.zeros((3, 3))
+    m, n = np.zeros((4, 4)), np.zeros((4, 4))
     for i, p in enumerate(names):
         for j, q in enumerate(names):
             if p != q:
                 both = by[p].keys() & by[q].keys()
                 n[i, j], m[i, j] = len(both), sum(by[p][x] == by[q][x] for x in both) - len(both) * (share[p] @ share[q])
-    r = np.full(3, 0.5)
-    for _ in range(3):
-        r = (r + (m @ r + 0.5) / (n @ r**2 + 1)) / 2
-    assert np.allclose([got[x] for x in names], r)
+    root = np.sqrt(n.sum(axis=1))
+    values, vectors = np.linalg.eigh(m / np.outer(root, root))
+    x = vectors[:, -1] * np.sign(vectors[:, -1].sum())
+    assert np.allclose([got[a].vector for a in names], x, atol=1e-5)
+    g = x / root
+    g *= np.sqrt(g @ m @ g / (g**2 @ n @ g**2))
+    assert np.allclose([got[a].centred for a in names], (m @ g + 0.5) / (n @ g**2 + 1), atol=1e-4)
+
+
+def test_annotators_without_agreement(spark):
+    """No common item, and pairs that never agree: the average, not an error."""
+    alone = [(f"i{j}", "ab"[j % 2], "yes") for j in range(6)]
+    apart = [(f"k{j}", a, x) for j in range(6) for a, x in zip("cde", LABELS)]
+    for rows in (alone, apart, alone + apart):
+        votes = spark.createDataFrame(rows, "item string, annotator string, label string")
+        got = spectral_reliability(votes, LABELS).collect()
+        assert len(got) == len({a for _, a, _ in rows}) and all(0.01 <= r.reliability <= 0.97 for r in got)
 
 
 def test_details_join_their_votes(spark):
