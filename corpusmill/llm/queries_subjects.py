@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 
 from ..functions.hygiene import is_junk
 from ..functions.text import key, norm, reference_key
-from ..operators.distributed import latest, require_at_most
+from ..operators.distributed import latest
 from ..sources.tables import load
-from .subjects import MAX_SUBJECTS, OUTSIDE, chosen_subjects, propagate_subjects
+from .subjects import OUTSIDE, chosen_subjects, propagate_subjects
+
+
+#: Rows of a dimension that is broadcast.
+SMALL = 10_000
+_AROUND = r"(?:[^\w<]|<[^<>]*+>|<)*+"
+_MISSING = rf"(?i)^{_AROUND}no abstract available{_AROUND}$"
 
 
 def _areas(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,8 +23,9 @@ def _areas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _local(df: DataFrame) -> DataFrame:
-    """A dimension of checked size, to be broadcast: joins with it need no shuffle of the other side."""
-    return F.broadcast(df.sparkSession.createDataFrame(require_at_most(df, MAX_SUBJECTS, "taxonomy"), df.schema))
+    """A dimension, broadcast if it is small, so that joins with it need no shuffle of the other side; beyond, it is joined by a shuffle."""
+    rows = df.limit(SMALL + 1).collect()
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema)) if len(rows) <= SMALL else df
 
 
 def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,8 +39,8 @@ def papers(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = rows.join(areas, "area_id", "left").join(domains, "domain_id", "left")
     # Stored keys that disagree are no hint.
     hint = F.when(F.col("outside"), OUTSIDE).when(F.col("name").isNull() | F.col("by_domain").isNull() | (F.col("name") == F.col("by_domain")), F.coalesce("name", "by_domain"))
-    # Long abstracts are no stand-ins; patterns that run over whole texts cost more than all else here.
-    missing = F.when(F.length("abstract") <= 60, F.col("abstract").rlike(r"(?i)^\W*no abstract available\W*$")).otherwise(F.lit(False))
+    # A notice, whatever marks and markup stand around it; possessive, so an abstract is left at its first letter.
+    missing = F.col("abstract").rlike(_MISSING)
     text = F.when(missing, F.lit(None)).otherwise(F.col("abstract"))
     # The latest row counts, one with a text before one without.
     version = F.struct(F.coalesce(text.rlike(r"\w"), F.lit(False)).alias("has_text"), "updated_at")

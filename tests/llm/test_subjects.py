@@ -1,8 +1,10 @@
+from functools import partial
+
 import numpy as np
-import pandas as pd
 
-from corpusmill.llm.subjects import OUTSIDE, Terms, chosen_subjects, propagate_subjects
+from corpusmill.llm.subjects import OUTSIDE, Words, chosen_subjects, propagate_subjects
 
+propagate = partial(propagate_subjects, most=0.5)  # with a handful of words each is in many documents
 SCHEMA = "id string, title string, text string, hint string, at int"
 
 
@@ -28,7 +30,7 @@ def test_subjects_are_found(spark):
     df = spark.createDataFrame(rows + [("void", None, None, None, 1), ("void2", "", "", "history", 1)], SCHEMA)
     seeds = spark.createDataFrame([(i, sorted(truth[i])[0]) for i in list(truth)[1:20:3] if len(truth[i]) == 1], "id string, subject string")
     got = {}
-    for r in chosen_subjects(propagate_subjects(df, seeds, order="at")).collect():
+    for r in chosen_subjects(propagate(df, seeds, order="at")).collect():
         got.setdefault(r.id, set()).add(r.subject)
     right = sum(got.get(i) == t for i, t in truth.items())
     assert right >= 0.97 * len(truth) and "void" not in got
@@ -37,25 +39,48 @@ def test_subjects_are_found(spark):
 def test_latest_version_counts(spark):
     rows, truth = corpus(120)
     moved = [("d0", "On historyalpha", "We discuss the historybeta of it. We discuss the historygamma here.", None, 2), ("d0", "x", "y", None, None)]
-    got = {r.subject for r in propagate_subjects(spark.createDataFrame(rows + moved, SCHEMA), order="at").where("id = 'd0'").collect()}
+    got = {r.subject for r in propagate(spark.createDataFrame(rows + moved, SCHEMA), order="at").where("id = 'd0'").collect()}
     assert got == {"history"}
 
 
 def test_no_hints_and_no_rows(spark):
     rows, _ = corpus(6)
     bare = spark.createDataFrame([(a, b, c, None, e) for a, b, c, _, e in rows], SCHEMA)
-    assert propagate_subjects(bare, order="at").count() == 0
-    assert propagate_subjects(bare.limit(0), order="at").count() == 0
+    assert propagate(bare, order="at").count() == 0
+    assert propagate(bare.limit(0), order="at").count() == 0
     assert OUTSIDE == "-"
 
 
-def test_terms():
-    one = pd.Series(["Flame stability", None, "FLAME-STABILITY"])
-    terms, document, sentence = Terms().batch(one, pd.Series(["Stability of <b>flames</b> matters. Short words.", None, None]))
-    of = lambda d, s: set(terms[(document == d) & (sentence == s)])
-    assert of(0, 0) == of(2, 0) and len(of(0, 0)) == 3 and 1 not in set(document)
-    assert of(0, 0) & of(0, 1) and set(sentence[document == 0]) == {0, 1, 2}
-    assert len(Terms().batch(one[:0], one[:0])[0]) == 0
+def test_words():
+    titles, texts = ["Flame stability. A note", None, "FLAME-STABILITY"], ["Stability of <b class='x'>flames</b> matters. It is so.", None, None]
+    words, document, sentence = Words().batch(titles, texts)
+    of = lambda d, s: set(words[(document == d) & (sentence == s)])
+    assert of(2, 0) < of(0, 0) and len(of(2, 0)) == 2 and 1 not in set(document)
+    assert of(0, 0) & of(0, 1) == of(2, 0) and set(sentence[document == 0]) == {0, 1}
+    assert len(Words().batch([], [])[0]) == 0
+
+
+def test_broadcast_and_shuffle_give_the_same(spark):
+    rows, truth = corpus(90)
+    df = spark.createDataFrame(rows, SCHEMA)
+    few, many = (sorted(map(tuple, propagate(df, order="at", broadcast_nodes=n).collect())) for n in (1_000_000, 0))
+    assert few == many and few
+
+
+def test_stray_labels_of_a_rare_subject_verify_nothing(spark):
+    """A subject that only has wrong hints, spread over the documents of others, gets no document."""
+    rows, truth = corpus(300)
+    stray = [(i, t, x, "stray" if n % 25 == 0 else h, a) for n, (i, t, x, h, a) in enumerate(rows)]
+    got = propagate(spark.createDataFrame(stray, SCHEMA), order="at")
+    assert got.where("subject = 'stray'").count() == 0
+
+
+def test_seeds_are_in_the_result(spark):
+    rows, truth = corpus(120)
+    seed = next(i for i, t in truth.items() if t == {"physics"})
+    seeds = spark.createDataFrame([(seed, "botany"), ("absent", "botany")], "id string, subject string")
+    got = {(r.id, r.subject) for r in chosen_subjects(propagate(spark.createDataFrame(rows, SCHEMA), seeds, order="at")).collect()}
+    assert (seed, "botany") in got and "absent" not in {i for i, _ in got}
 
 
 def test_leading_subject_is_kept(spark):
@@ -80,11 +105,11 @@ def chain(hinted):
 
 
 def test_labels_travel_between_documents_without_hints(spark):
-    got = {(r.id, r.subject) for r in propagate_subjects(spark.createDataFrame(chain(True), SCHEMA), order="at").collect()}
+    got = {(r.id, r.subject) for r in propagate(spark.createDataFrame(chain(True), SCHEMA), order="at").collect()}
     assert {i for i, s in got if s == "history"} >= {f"c{g}-{i}" for g in range(3) for i in range(12)}
 
 
 def test_other_hints_count_where_the_stored_one_is_absent(spark):
     hints = spark.createDataFrame([(f"c0-{i}", "history") for i in range(12)] + [("p0", "history")], "id string, subject string")
-    got = {(r.id, r.subject) for r in propagate_subjects(spark.createDataFrame(chain(False), SCHEMA), None, hints, order="at").collect()}
+    got = {(r.id, r.subject) for r in propagate(spark.createDataFrame(chain(False), SCHEMA), None, hints, order="at").collect()}
     assert ("c0-3", "history") in got and {s for i, s in got if i == "p0"} == {"physics"}
