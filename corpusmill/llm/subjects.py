@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,14 +52,16 @@ class Words:
 
         self.memo = Memo()
 
+    def split(self, title: str | None, text: str | None) -> list[str]:
+        """Words and marks at the end of sentences."""
+        whole = f"{(title or '').translate(self.marks)} . {text or ''}".lower()
+        return self.tokens(self.markup.sub(" ", whole) if "<" in whole or "&" in whole else whole)
+
     def batch(self, titles: list[str | None], texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         words: list[str] = []
         ends = []
         for title, text in zip(titles, texts):
-            whole = f"{(title or '').translate(self.marks)} . {text or ''}".lower()
-            if "<" in whole or "&" in whole:
-                whole = self.markup.sub(" ", whole)
-            words += self.tokens(whole)
+            words += self.split(title, text)
             ends.append(len(words))
         ids = np.fromiter(map(self.memo.__getitem__, words), dtype="int64", count=len(words))
         lengths = np.diff(np.asarray(ends, dtype="int64"), prepend=0)
@@ -78,28 +81,62 @@ def _without(stop: np.ndarray, ids: np.ndarray, *others: np.ndarray) -> tuple[np
 
 
 def word_counts(documents: DataFrame, title: str, text: str) -> DataFrame:
-    """``word`` and ``n``, the rows that have it; the row of word 0 counts all rows. Counted per batch in the task, then added up."""
+    """``word`` and ``n``, the documents that have it (one with two forms of a word counts for both); the row of word 0 counts all documents. Counted in the task, then added up."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
+        words, rows = Words(), 0
+        seen: Counter[str] = Counter()
+
+        def flushed() -> pa.RecordBatch:
+            ids = np.fromiter(map(words.memo.__getitem__, seen), dtype="int64", count=len(seen))
+            n = np.fromiter(seen.values(), dtype="int64", count=len(seen))
+            return pa.RecordBatch.from_arrays([pa.array(np.r_[0, ids[ids > 1]]), pa.array(np.r_[rows, n[ids > 1]])], names=["word", "n"])
+
         for batch in batches:
-            ids, document, _ = words.batch(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            order = np.lexsort((document, ids))
-            ids, document = ids[order], document[order]
-            new = np.r_[True, (np.diff(ids) != 0) | (np.diff(document) != 0)] if len(ids) else np.zeros(0, dtype=bool)
-            each, n = np.unique(ids[new], return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(np.r_[0, each]), pa.array(np.r_[batch.num_rows, n])], names=["word", "n"])
+            for title, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                seen.update(set(words.split(title, text)))
+            rows += batch.num_rows
+            if len(seen) >= MEMO:
+                yield flushed()
+                rows = 0
+                seen.clear()
+        yield flushed()
 
     return documents.select(title, text).mapInArrow(counted, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def pair_counts(documents: DataFrame, title: str, text: str, stop) -> DataFrame:
-    """``a`` < ``b`` and ``n``: pairs of words that follow each other in a sentence, stop words left out."""
+def passages(documents: DataFrame, title: str, text: str, stop) -> DataFrame:
+    """The other columns and ``_words``: per sentence a mark, -1 less its number, and its words in order, stop words left out."""
+    kept = [c for c in documents.columns if c not in (title, text)]
 
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for batch in batches:
-            ids, document, sentence = _without(stop.value, *words.batch(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+            ids, document, sentence = _without(stop.value, *words.batch(batch.column(title).to_pylist(), batch.column(text).to_pylist()))
+            starts = np.flatnonzero(np.r_[True, (np.diff(document) != 0) | (np.diff(sentence) != 0)]) if len(ids) else np.zeros(0, dtype="int64")
+            flat = np.insert(ids, starts, -1 - sentence[starts])
+            ends = np.searchsorted(np.insert(document, starts, document[starts]), np.arange(batch.num_rows + 1))
+            lists = pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], lists], names=[*kept, "_words"])
+
+    return documents.mapInArrow(read, T.StructType([*[documents.schema[c] for c in kept], T.StructField("_words", T.ArrayType(T.LongType()))]))
+
+
+def _unpacked(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words, documents and sentences of ``_words``."""
+    flat = lists.flatten().to_numpy(zero_copy_only=False)
+    document = np.repeat(np.arange(len(lists)), pa.compute.list_value_length(lists).to_numpy(zero_copy_only=False))
+    word = flat > 0
+    at = np.maximum.accumulate(np.where(word, 0, np.arange(len(flat)))) if len(flat) else np.zeros(0, dtype="int64")
+    return flat[word], document[word], (-1 - flat[at])[word]
+
+
+def pair_counts(read: DataFrame) -> DataFrame:
+    """``a`` < ``b`` and ``n``: pairs of words that follow each other in a sentence of ``_words``."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, document, sentence = _unpacked(batch.column(0))
             both = (document[:-1] == document[1:]) & (sentence[:-1] == sentence[1:]) & (ids[:-1] != ids[1:])
             a, b = np.minimum(ids[:-1], ids[1:])[both], np.maximum(ids[:-1], ids[1:])[both]
             order = np.lexsort((b, a))
@@ -108,42 +145,17 @@ def pair_counts(documents: DataFrame, title: str, text: str, stop) -> DataFrame:
             n = np.diff(np.r_[starts, len(a)])
             yield pa.RecordBatch.from_arrays([pa.array(a[starts]), pa.array(b[starts]), pa.array(n)], names=["a", "b", "n"])
 
-    return documents.select(title, text).mapInArrow(counted, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
-
-
-def passages(documents: DataFrame, title: str, text: str, stop) -> DataFrame:
-    """The other columns and ``_passages``: per sentence with any, its number and its words, stop words left out, each once, in order."""
-    kept = [c for c in documents.columns if c not in (title, text)]
-    element = T.StructType([T.StructField("pos", T.LongType()), T.StructField("words", T.ArrayType(T.LongType()))])
-    schema = T.StructType([*[documents.schema[c] for c in kept], T.StructField("_passages", T.ArrayType(element))])
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = Words()
-        for batch in batches:
-            ids, document, sentence = _without(stop.value, *words.batch(batch.column(title).to_pylist(), batch.column(text).to_pylist()))
-            order = np.lexsort((ids, sentence, document))
-            ids, document, sentence = ids[order], document[order], sentence[order]
-            moved = (np.diff(document) != 0) | (np.diff(sentence) != 0)
-            new = np.r_[True, moved | (np.diff(ids) != 0)] if len(ids) else np.zeros(0, dtype=bool)
-            ids, document, sentence = ids[new], document[new], sentence[new]
-            starts = np.flatnonzero(np.r_[True, (np.diff(document) != 0) | (np.diff(sentence) != 0)]) if len(ids) else np.zeros(0, dtype="int64")
-            inner = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(ids)], type=pa.int32()), pa.array(ids))
-            structs = pa.StructArray.from_arrays([pa.array(sentence[starts]), inner], names=["pos", "words"])
-            ends = np.searchsorted(document[starts], np.arange(batch.num_rows + 1))
-            lists = pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), structs)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], lists], names=[*kept, "_passages"])
-
-    return documents.mapInArrow(read, schema)
+    return read.select("_words").mapInArrow(counted, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
 
 def representatives(counts: DataFrame, pairs: DataFrame, least: int) -> DataFrame:
     """Nodes of the graph per word: ``word``, ``mate``, ``together`` (node of the pair), ``alone`` (node of the word).
 
-    The representative of a word is the pair it is most often in; words and pairs of fewer than ``least`` rows are none.
+    The representative of a word is the pair it is most often in; words and pairs of fewer than ``least`` occurrences are none.
     """
     node = lambda *c: F.xxhash64(*c).bitwiseAND(F.lit(_MASK))
     often = pairs.where(F.col("n") >= least)
-    ends = often.select(F.col("a").alias("word"), F.col("b").alias("mate"), "n").unionByName(often.select(F.col("b").alias("word"), F.col("a").alias("mate"), "n"))
+    ends = often.select("n", F.explode(F.array(F.struct(F.col("a").alias("word"), F.col("b").alias("mate")), F.struct(F.col("b").alias("word"), F.col("a").alias("mate")))).alias("_e")).select("_e.*", "n")
     best = ends.groupBy("word").agg(F.max_by("mate", F.struct("n", "mate")).alias("mate"))
     joined = counts.where(F.col("n") >= least).select("word").join(best, "word", "left")
     together = F.when(F.col("mate").isNotNull(), node(F.least("word", "mate"), F.greatest("word", "mate"), F.lit(1)))
@@ -167,6 +179,60 @@ def node_subjects(counts: DataFrame, *, least: float = 2.5, purity: float = 0.5)
     return led.withColumn("weight", weight).where(F.col("weight") >= purity).select("node", "subject", "weight")
 
 
+def _linked_in_task(read: DataFrame, known: DataFrame) -> DataFrame:
+    """``_linked`` for numbered nodes of checked number: the table of words (32 bytes a word) goes to the tasks."""
+    table = known.toArrow().sort_by("word")
+    word = table.column("word").to_numpy()
+    mate = table.column("mate").fill_null(-1).to_numpy()
+    at = np.minimum(np.searchsorted(word, mate), max(len(word) - 1, 0))
+    mate = np.where(word[at] == mate, at, -1) if len(word) else mate
+    shared = read.sparkSession.sparkContext.broadcast((word, mate, table.column("together").fill_null(-1).to_numpy(), table.column("alone").to_numpy()))
+    kept = [c for c in read.columns if c != "_words"]
+
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        word, mate, together, alone = shared.value
+        for batch in batches:
+            ids, document, sentence = _unpacked(batch.column("_words"))
+            at = np.minimum(np.searchsorted(word, ids), max(len(word) - 1, 0))
+            hit = word[at] == ids if len(word) else np.zeros(len(ids), dtype=bool)
+            at, document, sentence = at[hit], document[hit], sentence[hit]
+            place = np.cumsum(np.r_[False, (np.diff(document) != 0) | (np.diff(sentence) != 0)]) if len(at) else at
+            held = np.unique((place << 32) + at)
+            other = (place << 32) + mate[at]
+            found = np.minimum(np.searchsorted(held, other), max(len(held) - 1, 0))
+            both = (held[found] == other) & (mate[at] >= 0) if len(held) else np.zeros(0, dtype=bool)
+            links = (sentence << _SHIFT) + np.where(both, together[at], alone[at])
+            order = np.lexsort((links, document))
+            links, document = links[order], document[order]
+            new = np.r_[True, (np.diff(links) != 0) | (np.diff(document) != 0)] if len(links) else np.zeros(0, dtype=bool)
+            ends = np.searchsorted(document[new], np.arange(batch.num_rows + 1))
+            lists = pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), pa.array(links[new], type=pa.int64()))
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], lists], names=[*kept, "_links"])
+
+    return read.mapInArrow(link, T.StructType([*[read.schema[c] for c in kept], T.StructField("_links", T.ArrayType(T.LongType()))]))
+
+
+def _linked(read: DataFrame, known: DataFrame) -> DataFrame:
+    """The other columns and ``_links``: each sentence's words joined with the representatives, the mate verified to be in the sentence."""
+    element = T.StructType([T.StructField("pos", T.LongType()), T.StructField("words", T.ArrayType(T.LongType()))])
+
+    def nest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, document, sentence = _unpacked(batch.column("_words"))
+            starts = np.flatnonzero(np.r_[True, (np.diff(document) != 0) | (np.diff(sentence) != 0)]) if len(ids) else np.zeros(0, dtype="int64")
+            inner = pa.ListArray.from_arrays(pa.array(np.r_[starts, len(ids)], type=pa.int32()), pa.array(ids))
+            structs = pa.StructArray.from_arrays([pa.array(sentence[starts]), inner], names=["pos", "words"])
+            ends = np.searchsorted(document[starts], np.arange(batch.num_rows + 1))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends, type=pa.int32()), structs)], names=[*batch.schema.names, "_p"])
+
+    nested = read.mapInArrow(nest, T.StructType([*read.schema, T.StructField("_p", T.ArrayType(element))]))
+    one = nested.select("_id", "_v", "_hint", F.explode_outer("_p").alias("_p"))
+    spread = one.select("_id", "_v", "_hint", F.col("_p.pos").alias("_pos"), F.col("_p.words").alias("_words"), F.explode_outer("_p.words").alias("word"))
+    joined = spread.withColumn("_salt", salt_of(["_id"], 16)).join(replicate(known, 16), ["word", "_salt"], "left")
+    node = F.when(F.array_contains("_words", F.col("mate")), F.col("together")).otherwise(F.col("alone"))
+    return joined.groupBy("_id", "_v").agg(F.max("_hint").alias("_hint"), F.collect_set(F.shiftleft("_pos", _SHIFT) + node).alias("_links"))
+
+
 def _looked_up(incidence: DataFrame, n_nodes: int, labels: DataFrame) -> DataFrame:
     """``_read`` for numbered nodes of checked number: the table of labels (16 bytes a node) goes to the tasks, links stay where they are."""
     table = labels.toArrow()
@@ -226,7 +292,7 @@ def propagate_subjects(
     the pair of words it is most often in, and a sentence with the word is linked to it if the whole pair is
     verified to be in the sentence; if not, to the word alone. Documents with a link in common are neighbours. As all
     are linked to representatives and not to each other, a word of a third of all documents makes no pairs.
-    Words of more than ``most`` of the rows link nothing. The graph has words and pairs of all documents, with or without a hint.
+    Words of more than ``most`` of the documents link nothing. The graph has words and pairs of all documents, with or without a hint.
 
     Labels start from ``hint`` (a column of ``documents``, may be null or wrong), else from ``hints`` (``id_col``, ``subject``). A round takes them
     from documents to nodes (explode, aggregate by node and subject), verifies that the documents of a node agree
@@ -245,27 +311,22 @@ def propagate_subjects(
 
     counts = cut(word_counts(rows, "_title", "_text").where(F.col("n") >= least))
     n_rows = counts.where("word = 0").agg(F.max("n")).first()[0] or 0
-    # At most 1/``most`` times the mean number of different words of a row.
+    # At most 1/``most`` times the mean number of different words of a document.
     frequent = counts.where((F.col("word") != 0) & (F.col("n") > most * n_rows) & (F.col("n") > least)).select("word").toArrow().column("word").to_numpy()
     stop = spark.sparkContext.broadcast(np.sort(frequent))
-    known = representatives(counts.where((F.col("word") != 0) & ~((F.col("n") > most * n_rows) & (F.col("n") > least))), pair_counts(rows, "_title", "_text", stop), least)
-    known = cut(known)
+    read = cut(passages(rows, "_title", "_text", stop))
+    known = cut(representatives(counts.where((F.col("word") != 0) & ~((F.col("n") > most * n_rows) & (F.col("n") > least))), pair_counts(read), least))
     nodes = known.select(F.explode(F.array("together", "alone")).alias("node")).where("node IS NOT NULL").distinct()
     n_nodes = nodes.count()
     few = n_nodes <= broadcast_nodes
     if few:
-        numbers = nodes.select("node", (F.row_number().over(W.orderBy("node")) - 1).cast("long").alias("_at"))  # no more than broadcast_nodes rows
-        numbers = cut(numbers)
+        # No more than broadcast_nodes rows.
+        numbers = cut(nodes.select("node", (F.row_number().over(W.orderBy("node")) - 1).cast("long").alias("_at")))
         renamed = lambda c: numbers.select(F.col("node").alias(c), F.col("_at").alias(f"_{c}"))
-        known = cut(known.join(renamed("alone"), "alone").join(renamed("together"), "together", "left").select("word", "mate", F.col("_together").alias("together"), F.col("_alone").alias("alone")))
-
-    read = passages(rows, "_title", "_text", stop).select("_id", "_v", "_hint", F.explode_outer("_passages").alias("_p"))
-    spread = read.select("_id", "_v", "_hint", F.col("_p.pos").alias("_pos"), F.col("_p.words").alias("_words"), F.explode_outer("_p.words").alias("word"))
-    linked = spread.join(F.broadcast(known), "word", "left") if few else spread.withColumn("_salt", salt_of(["_id"], 16)).join(replicate(known, 16), ["word", "_salt"], "left")
-    node = F.when(F.array_contains("_words", F.col("mate")), F.col("together")).otherwise(F.col("alone"))
-    link = F.shiftleft("_pos", _SHIFT) + node
-    # Rows of one document and version lie together, so they are one row before the shuffle; equal rows count once.
-    versions = linked.groupBy("_id", "_v").agg(F.collect_set(link).alias("_links"), F.max("_hint").alias("_hint"))
+        known = known.join(renamed("alone"), "alone").join(renamed("together"), "together", "left").select("word", "mate", F.col("_together").alias("together"), F.col("_alone").alias("alone"))
+        versions = _linked_in_task(read, known)
+    else:
+        versions = _linked(read, known)
     none = F.lit(None).cast("string")
     versions = versions.select("_id", "_v", "_links", none.alias("_seed"), "_hint", none.alias("_other"))
     nothing = [F.lit(None).cast(versions.schema[c].dataType).alias(c) for c in ("_v", "_links")]
