@@ -17,26 +17,31 @@ from . import lexicon as lx
 MAX_LABELLED = 20_000
 #: A passage ends where so many words in a row hold none of the lexicon's.
 GAP = 9
+#: Parts of the labelled documents, each scored by what the others taught.
+FOLDS = 4
 #: Words kept in a worker's table before it is emptied.
 MEMO = 500_000
 
-_KINDS = ("INSULT", "AIMED", "SCORN", "SEXUAL", "INTIMATE", "VIOLENCE", "DEHUMANISING", "GROUPS", "SECOND_PERSON", "CUE", "HIDDEN", "CAPITALS", "LOUD", "LETTER", "TALK", "AIM")
+_KINDS = ("INSULT", "AIMED", "SCORN", "SEXUAL", "INTIMATE", "VIOLENCE", "DEHUMANISING", "GROUPS", "SECOND_PERSON", "LEARNED", "HIDDEN", "CAPITALS", "LOUD", "LETTER", "TALK", "AIM", "FIRST")
 BIT = {k: 1 << i for i, k in enumerate(_KINDS)}
 _CONTENT = sum(BIT[k] for k in _KINDS[:10]) - BIT["SECOND_PERSON"] + BIT["AIM"]
-_GRAVE = BIT["INSULT"] | BIT["AIMED"] | BIT["SEXUAL"] | BIT["CUE"] | BIT["HIDDEN"] | BIT["AIM"]
+_GRAVE = BIT["INSULT"] | BIT["AIMED"] | BIT["SEXUAL"] | BIT["LEARNED"] | BIT["HIDDEN"] | BIT["AIM"]
 _BITS = np.array([BIT[k] for k in _KINDS[:13]])
 FEATURES = (
-    *("insult", "aimed", "scorn", "sexual", "intimate", "violence", "dehumanising", "groups", "second_person", "cue_words", "hidden", "capitals", "loud"),
-    *("cues", "length", "insult_at_you", "harm_at_you", "hate", "aimed_talk", "severity"),
+    *("insult", "aimed", "scorn", "sexual", "intimate", "violence", "dehumanising", "groups", "second_person", "learned", "hidden", "capitals", "loud"),
+    *("length", "insult_at_you", "harm_at_you", "hate", "aimed_talk", "hits"),
     *("doc_insult", "doc_sexual", "doc_violence", "doc_dehumanising", "doc_second_person", "doc_hidden", "doc_capitals", "doc_loud"),
 )
-_SEVERITY = FEATURES.index("severity")
+_HITS = FEATURES.index("hits")
 _PRONOUNS = frozenset("they them these those diese sie ils elles ceux ellos ellas esos estos".split())
 _DEMONYM = re.compile(r"(?:ans|ites|ese|ish|ists|aris|ims|ari|aner|iten|isten|esen|länder|linge|ais|ois|iens|istes|anos|eses|istas|itas|enses|folk|leute)$").search
 
 
 class Reader:
-    """Turns a text into the features of its gravest passage and of the whole.
+    """Turns a text into the features of its passage with most hits and of the whole.
+
+    ``learned`` are words and pairs of neighbouring words (``"a b"``) that labelled documents showed to be abusive; each
+    has the bits of the folds it may be used in.
 
     Each distinct word is looked up once. A word is compared in its plain form: compatibility
     forms and letters of look-alike scripts as Latin, invisible marks dropped, single letters that
@@ -45,10 +50,13 @@ class Reader:
     or swapped. Words that need any of these count as hidden.
     """
 
-    def __init__(self):
+    def __init__(self, learned: dict[str, int] | None = None):
         import re
         import unicodedata
 
+        self.learned = learned or {}
+        self.firsts = {t.split(" ")[0] for t in self.learned}
+
         self.normal = lambda s: unicodedata.normalize("NFKC", s).casefold()
         self.re = re
         # Letters of other scripts that look like Latin ones (fixed values).
@@ -60,11 +68,8 @@ class Reader:
         for k in _KINDS[:9]:
             for w in getattr(lx, k):
                 self.kinds[w] = self.kinds.get(w, 0) | BIT[k]
-        for first, *_ in lx.CUES:
-            self.kinds[first] = self.kinds.get(first, 0) | BIT["CUE"]
         for w in lx.PESTS | lx.BLIGHT | lx.HUMAN | lx.BREED | lx.BELONG | lx.HARMED | lx.HARM | lx.KNOW | lx.HOPE | lx.NEED | lx.FINISH:
             self.kinds[w] = self.kinds.get(w, 0) | BIT["TALK"]
-        self.cues = [frozenset(c) for c in lx.CUES]
         strong = {w for k in ("INSULT", "SCORN", "SEXUAL", "DEHUMANISING", "GROUPS", "VIOLENCE", "INTIMATE") for w in getattr(lx, k)}
         self.long = {w for w in strong if len(w) >= 6}
         self.lost: dict[str, str] = {}
@@ -79,8 +84,9 @@ class Reader:
                 if len(self) >= MEMO:
                     self.clear()
                     reader.plain.clear()
-                n, reader.plain[word] = reader.look(word)
-                self[word] = n
+                n, plain = reader.look(word)
+                reader.plain[word] = plain
+                self[word] = n = n | (BIT["FIRST"] if plain in reader.firsts else 0)
                 return n
 
         self.plain: dict[str, str] = {}
@@ -132,7 +138,15 @@ class Reader:
                     return bits | self.kinds[word] | (BIT["HIDDEN"] if hidden else 0), word
         return bits, bare
 
-    def __call__(self, text: str | None) -> list[float]:
+    def terms(self, text: str | None) -> set[str]:
+        """Plain words of two letters and more and pairs of neighbouring ones, from which terms are learned."""
+        words = (text or "").split()
+        for w in words:
+            self.memo[w]
+        plain = [self.plain.get(w) or self.look(w)[1] for w in words]
+        return {w for w in plain if len(w) > 1} | {f"{a} {b}" for a, b in zip(plain, plain[1:]) if a and b}
+
+    def __call__(self, text: str | None, fold: int = FOLDS) -> list[float]:
         words = (text or "").split()
         out = np.zeros(len(FEATURES), dtype="float32")
         if not words:
@@ -141,10 +155,15 @@ class Reader:
         words, codes = self.spelled(words, codes)
         per = 1000.0 / max(len(words), 100)
         for i, k in enumerate(("INSULT", "SEXUAL", "VIOLENCE", "DEHUMANISING", "SECOND_PERSON", "HIDDEN", "CAPITALS", "LOUD")):
-            out[_SEVERITY + 1 + i] = np.count_nonzero(codes & BIT[k]) * per
+            out[_HITS + 1 + i] = np.count_nonzero(codes & BIT[k]) * per
         for t in np.flatnonzero(codes & BIT["TALK"]).tolist():
             if self.aimed(words, t):
                 codes[t] |= BIT["AIM"]
+        for t in np.flatnonzero(codes & BIT["FIRST"]).tolist():
+            plain = self.plain.get(words[t], words[t])
+            pair = f"{plain} {self.plain.get(words[t + 1], words[t + 1])}" if t + 1 < len(words) else plain
+            if (self.learned.get(plain, 0) | self.learned.get(pair, 0)) >> fold & 1:
+                codes[t] |= BIT["LEARNED"]
         at = np.flatnonzero(codes & _CONTENT)
         if not len(at):
             return out.tolist()
@@ -158,7 +177,7 @@ class Reader:
                 f = self.passage(words[lo:hi], codes[lo:hi])
                 if f[-1] > best:
                     best = f[-1]
-                    out[: _SEVERITY + 1] = f
+                    out[: _HITS + 1] = f
             start = end
         return out.tolist()
 
@@ -245,51 +264,96 @@ class Reader:
 
     def passage(self, words: list[str], codes: np.ndarray) -> list[float]:
         n = dict(zip(_KINDS, np.count_nonzero(codes[:, None] & _BITS, axis=0).tolist()))
-        cues = 0
-        if n["CUE"]:
-            plain = {self.plain.get(w, w) for w in words}
-            cues = sum(c <= plain for c in self.cues)
         you = n["SECOND_PERSON"] > 0
         insult_at_you = float(min(n["INSULT"] + n["AIMED"] + n["SCORN"], 4) * you)
         harm_at_you = float(min(n["VIOLENCE"], 4) * you)
         hate = float(min(n["GROUPS"], 3) * min(n["DEHUMANISING"] + n["VIOLENCE"] + n["INSULT"], 3))
         aimed = float(min(np.count_nonzero(codes & BIT["AIM"]), 2))
-        severity = (
-            2.2 * min(n["INSULT"], 3) + 0.9 * min(n["AIMED"], 3) + 0.5 * min(n["SCORN"], 3) + 1.6 * min(n["SEXUAL"], 3) + 0.5 * min(n["INTIMATE"], 4) + 0.5 * min(n["VIOLENCE"], 3)
-            + 0.4 * min(n["DEHUMANISING"], 3) + 2.4 * min(cues, 3) + 0.8 * insult_at_you + 0.5 * harm_at_you + 0.7 * hate + 0.7 * min(n["HIDDEN"], 2) + 2.7 * aimed
-        )
-        return [*(float(n[k]) for k in _KINDS[:13]), float(cues), float(min(len(words), 200)), insult_at_you, harm_at_you, hate, aimed, severity]
+        hits = float(np.count_nonzero(codes & _CONTENT))
+        return [*(float(n[k]) for k in _KINDS[:13]), float(min(len(words), 200)), insult_at_you, harm_at_you, hate, aimed, hits]
 
 
-def abuse_features(text: Column | str) -> Column:
-    """Dense features of each whole text (see ``FEATURES``); null and empty texts have zeros."""
+def abuse_features(text: Column | str, learned: dict[str, int] | None = None, fold: Column | None = None) -> Column:
+    """Dense features of each whole text (see ``FEATURES``); null and empty texts have zeros.
+
+    ``fold`` names the terms of ``learned`` that may be used: those learned without the document's own fold, or all (``FOLDS``, the default).
+    """
 
     @F.pandas_udf("array<float>")
-    def read(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def read(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        reader = Reader(learned)
+        for texts, folds in batches:
+            yield pd.Series([reader(t, k) for t, k in zip(texts, folds)], dtype=object)
+
+    return read(text, F.lit(FOLDS) if fold is None else fold)
+
+
+def labelled_documents(labels: DataFrame, *, id_col: str = "doc_id", label: str = "toxic", max_labelled: int = MAX_LABELLED) -> DataFrame:
+    """At most ``max_labelled`` labelled ids, those with the smallest hash: ``y``, the mean of the labels that are not null, and ``fold``."""
+    known = labels.where(F.col(label).isNotNull() & F.col(id_col).isNotNull()).groupBy(id_col).agg(F.avg(label).alias("y")).withColumn("_h", F.xxhash64(id_col))
+    return known.orderBy("_h", id_col).limit(max_labelled).select(id_col, "y", F.pmod("_h", F.lit(FOLDS)).cast("int").alias("fold"))
+
+
+def learned_terms(documents: DataFrame, labelled: DataFrame, *, id_col: str = "doc_id", text: str = "text", least: int = 3, share: float = 0.6) -> dict[str, int]:
+    """Words and pairs of words that are found in abusive documents and hardly in others, with the bits of the folds they may be used in.
+
+    A term counts if ``least`` documents labelled abusive have it and the share of these among all labelled documents
+    that have it is above ``share`` by its lower confidence bound (one standard deviation). Bit k is set if that holds without the documents
+    of fold k, bit ``FOLDS`` if it holds with all; so features of labelled documents never rest on their own labels.
+    Only labelled documents are read, of which there are at most as many as ``labelled_documents`` takes; their terms are counted by an aggregate.
+    """
+
+    @F.pandas_udf("array<string>")
+    def terms(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         reader = Reader()
         for texts in batches:
-            yield pd.Series([reader(t) for t in texts])
+            yield pd.Series([sorted(reader.terms(t)) for t in texts], dtype=object)
+
+    chosen = documents.select(id_col, F.col(text).alias("_text")).join(F.broadcast(labelled), id_col)
+    each = chosen.select("y", "fold", F.explode(terms("_text")).alias("term"))
+    folds = range(FOLDS)
+    bad = F.col("y") >= 0.5
+    counts = each.groupBy("term").agg(*[F.count_if(bad & (F.col("fold") == k)).alias(f"b{k}") for k in folds], *[F.count_if(~bad & (F.col("fold") == k)).alias(f"g{k}") for k in folds])
+
+    def holds(left_out: int) -> Column:
+        b = sum((F.col(f"b{k}") for k in folds if k != left_out), F.lit(0))
+        n = b + sum((F.col(f"g{k}") for k in folds if k != left_out), F.lit(0))
+        p = b / n
+        return (b >= least) & ((p + 1 / (2 * n) - F.sqrt(p * (1 - p) / n + 1 / (4 * n * n))) / (1 + 1 / n) >= share)
+
+    bits = sum((F.when(holds(k), 1 << k).otherwise(0) for k in range(FOLDS + 1)), F.lit(0))
+    return {r.term: r.bits for r in counts.where(sum((F.col(f"b{k}") for k in folds), F.lit(0)) >= least).select("term", bits.alias("bits")).where("bits > 0").collect()}
+
+
+def edges_of(x: np.ndarray, bins: int) -> np.ndarray:
+    """Ends of bins: quantiles of all values and of those that are not 0, since most features are 0 in most documents."""
+    grid = np.linspace(0, 1, bins + 1)[1:-1]
+    parts = [np.quantile(v, grid) for v in (x, x[x != 0]) if len(v)]
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0)
+
 
-    return read(text)
+_COUNTED = [FEATURES.index(k) for k in ("insult", "sexual", "aimed_talk", "insult_at_you", "hate", "learned")]
 
 
-#: Severity at which the untrained scale calls a passage as likely as not, and its slope.
-MIDDLE, SLOPE = 2.6, 1.5
+def untrained(x: np.ndarray) -> np.ndarray:
+    """Where there are no labels at all: a margin from the number of insults, sexual terms and statements about groups."""
+    return np.clip(2 * x[:, _COUNTED].sum(axis=1) - 3, -4, 4)
 
 
 class Booster:
-    """Gradient-boosted trees with logistic loss; starts from the lexicon's severity, so few labels do little harm."""
+    """Gradient-boosted trees with logistic loss.
 
-    def __init__(self, trees: int = 40, depth: int = 3, rate: float = 0.1, least: float = 6.0, ridge: float = 8.0, bins: int = 32):
-        self.trees, self.depth, self.rate, self.least, self.ridge, self.bins = trees, depth, rate, least, ridge, bins
+    The first learner is the isotonic regression of the labels on the number of hits: with few and noisy labels it errs
+    less than a tree.
+    """
 
-    @staticmethod
-    def start(x: np.ndarray) -> np.ndarray:
-        return np.clip(SLOPE * (x[:, _SEVERITY] - MIDDLE), -4, 4)
+    def __init__(self, trees: int = 60, depth: int = 3, rate: float = 0.1, least: float = 6.0, ridge: float = 4.0, bins: int = 32):
+        self.trees, self.depth, self.rate, self.least, self.ridge, self.bins = trees, depth, rate, least, ridge, bins
 
     def fit(self, x: np.ndarray, y: np.ndarray, w: np.ndarray) -> Booster:
-        self.edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, self.bins + 1)[1:-1])) for j in range(x.shape[1])]
+        self.edges = [edges_of(x[:, j], self.bins) for j in range(x.shape[1])]
         b = self.binned(x)
+        self.knots = isotonic(x[:, _COUNTED].sum(axis=1), y, w)
         margin = self.start(x)
         self.forest = []
         for _ in range(self.trees):
@@ -301,6 +365,10 @@ class Booster:
             margin = margin + self.rate * self.leaf(tree, b)
         return self
 
+    def start(self, x: np.ndarray) -> np.ndarray:
+        p = np.clip(np.interp(x[:, _COUNTED].sum(axis=1), *self.knots), 0.01, 0.99)
+        return np.log(p / (1 - p))
+
     def grow(self, tree, k, b, g, h, w, rows, node) -> None:
         total_g, total_h = g[rows].sum(), h[rows].sum()
         tree[k] = float(-total_g / (total_h + self.ridge))
@@ -346,9 +414,10 @@ class Booster:
 
 def isotonic(score: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pool adjacent violators: knots (score, probability), to be interpolated."""
-    order = np.argsort(score, kind="stable")
+    each, place = np.unique(score, return_inverse=True)
+    total = np.bincount(place, w)
     blocks: list[list[float]] = []
-    for s, v, n in zip(score[order], y[order], w[order]):
+    for s, v, n in zip(each, np.bincount(place, w * y) / np.maximum(total, 1e-12), total):
         blocks.append([v * n, n, s * n])
         while len(blocks) > 1 and blocks[-2][0] / blocks[-2][1] >= blocks[-1][0] / blocks[-1][1]:
             last = blocks.pop()
@@ -359,35 +428,32 @@ def isotonic(score: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarra
 class Scorer:
     """Boosted trees and the isotonic curve over their held-out margins."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray, w: np.ndarray, folds: int = 4):
-        # Made-up points on the untrained scale, of little weight, keep the curve sound where labels are few.
+    def __init__(self, x: np.ndarray, y: np.ndarray, w: np.ndarray, fold: np.ndarray, folds: int = FOLDS):
+        # Made-up points of little weight keep the curve sound where labels are few.
         grid = np.linspace(-4, 4, 17)
-        held, fold = np.zeros(len(y)), np.arange(len(y)) % folds
+        held = untrained(x)
         for k in range(folds):
-            if (fold == k).any():
-                held[fold == k] = Booster().fit(x[fold != k], y[fold != k], w[fold != k]).margin(x[fold == k]) if (fold != k).any() else Booster.start(x[fold == k])
+            if (fold == k).any() and (fold != k).any():
+                held[fold == k] = Booster().fit(x[fold != k], y[fold != k], w[fold != k]).margin(x[fold == k])
+        self.held = held
         self.model = Booster().fit(x, y, w) if len(y) else None
         self.knots = isotonic(np.concatenate([held, grid]), np.concatenate([y, 1 / (1 + np.exp(-grid))]), np.concatenate([w, np.full(len(grid), 2.0)]))
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
-        margin = self.model.margin(x) if self.model else Booster.start(x)
+        margin = self.model.margin(x) if self.model else untrained(x)
         return np.interp(margin, *self.knots)
 
 
-def abuse_scores(featured: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", features: str = "features", label: str = "toxic", max_labelled: int = MAX_LABELLED) -> DataFrame:
+def abuse_scores(featured: DataFrame, *, id_col: str = "doc_id", features: str = "features", max_labelled: int = MAX_LABELLED) -> DataFrame:
     """``featured`` with ``score``: the calibrated probability that the text holds abusive content.
 
-    The model is fitted on labelled documents, at most ``max_labelled`` (those with the smallest hash
-    of their id): a document's labels are averaged, null labels left out. Without labels
-    the lexicon's own scale gives the score. Documents are all scored. ``featured`` is read
+    ``featured`` has ``y`` and ``fold`` of ``labelled_documents`` (null if not labelled); the model is fitted on those, at most
+    ``max_labelled``. Without any the lexicon's own scale gives the score. Documents are all scored. ``featured`` is read
     twice: pass a table or a checkpoint.
     """
-    known = labels.where(F.col(label).isNotNull()).groupBy(id_col).agg(F.avg(label).alias("y")).withColumn("_h", F.xxhash64(id_col))
-    fitted = known.orderBy("_h", id_col).limit(max_labelled).join(featured.select(id_col, features), id_col).groupBy(id_col, "_h", "y").agg(F.first(features).alias("x"))
-    rows = sorted(require_at_most(fitted, max_labelled, "labelled documents"), key=lambda r: (r["_h"], r[id_col]))
+    rows = sorted(require_at_most(labelled_rows(featured, id_col, features), max_labelled, "labelled documents"), key=lambda r: (r.fold, r[id_col]))
     x = np.array([r.x for r in rows], dtype="float64").reshape(len(rows), len(FEATURES))
-    y = np.array([r.y for r in rows], dtype="float64")
-    scorer = Scorer(x, y, np.ones(len(y)))  # some kilobytes, whatever the number of documents
+    scorer = Scorer(x, np.array([r.y for r in rows], dtype="float64"), np.ones(len(rows)), np.array([r.fold for r in rows], dtype="int64"))  # some kilobytes, whatever the number of documents
 
     @F.pandas_udf("double")
     def scored(vectors: pd.Series) -> pd.Series:
@@ -398,6 +464,11 @@ def abuse_scores(featured: DataFrame, labels: DataFrame, *, id_col: str = "doc_i
     return featured.withColumn("score", scored(features))
 
 
+def labelled_rows(featured: DataFrame, id_col: str = "doc_id", features: str = "features") -> DataFrame:
+    """One row per labelled document; repeated rows of one id count once."""
+    return featured.where("y IS NOT NULL").groupBy(id_col, "y", "fold").agg(F.first(features).alias("x"))
+
+
 def abuse_rates(scored: DataFrame, by: str, threshold: float) -> DataFrame:
     """Per ``by``: documents, those at or above ``threshold``, their rate, and the mean score."""
     hit = F.count_if(F.col("score") >= threshold)

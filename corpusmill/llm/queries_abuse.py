@@ -8,15 +8,18 @@ from pyspark.sql import functions as F
 from ..functions.text import key
 from ..operators.distributed import cut
 from ..sources.tables import load
-from .abuse import abuse_features, abuse_rates, abuse_scores
+from .abuse import FOLDS, abuse_features, abuse_rates, abuse_scores, labelled_documents, learned_terms
 
 #: Probability from which a document counts as found.
 THRESHOLD = 0.5
 
 
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    featured = load(spark, sf_dir, "documents").select("doc_id", key("source").alias("source"), abuse_features("text").alias("features"))
-    return abuse_scores(cut(featured), load(spark, sf_dir, "labels"))
+    documents = load(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    labelled = cut(labelled_documents(load(spark, sf_dir, "labels")))  # at most MAX_LABELLED rows
+    terms = learned_terms(documents, labelled)
+    joined = documents.join(F.broadcast(labelled), "doc_id", "left")
+    return abuse_scores(cut(joined.select("doc_id", key("source").alias("source"), "y", "fold", abuse_features("text", terms, F.coalesce("fold", F.lit(FOLDS))).alias("features"))))
 
 
 def p8_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
