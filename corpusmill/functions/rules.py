@@ -22,6 +22,31 @@ def embedding_text(title: Column, abstract: Column, status: Column) -> Column:
     return F.when(status == "ok", F.concat(ustrip(title), F.lit("\n\n"), ustrip(abstract))).when(status == "title_only", ustrip(title))
 
 
+#: Patterns of titles from fields outside the taxonomy; any match counts.
+OUT_OF_SCOPE = (
+    r"\bphysics\b", r"\bastro", r"\bastronomy\b", r"\bastrophysic",
+    r"\bcosmolog", r"\bnuclear\b", r"\bnucle(i|us|on)", r"\batomic\b",
+    r"\bquantum field", r"\bqcd\b", r"\bqed\b", r"\bparticle physics\b",
+    r"\bhiggs\b", r"\bboson\b", r"\bhadron", r"\bquark", r"\blepton",
+    r"\bneutrino", r"\bgluon", r"\bmuon", r"\bfermion",
+    r"\bgravitation", r"\bgravitational wave", r"\bblack hole",
+    r"\bgalax(y|ies)\b", r"\bstellar\b", r"\bplasma\b",
+    r"\bspacetime\b", r"\brelativit", r"\bcondensed matter\b",
+    r"\bstring theory\b", r"\bdark matter\b", r"\bdark energy\b",
+)
+
+
+def out_of_scope(title: Column) -> Column:
+    """Whether a title looks like one from outside the taxonomy; a null title does not."""
+    return F.coalesce(title.rlike("(?i)(?:" + "|".join(OUT_OF_SCOPE) + ")"), F.lit(False))
+
+
+def prompt_text(title: Column, abstract: Column, longest: int, *, before: str = "Title: ", between: str = "\n\nAbstract: ", missing: str = "\n\n(No abstract available.)") -> Column:
+    """Title and the first ``longest`` characters of the abstract, with a stand-in where that is null or empty."""
+    body = F.when(F.coalesce(abstract, F.lit("")) != "", F.concat(F.lit(between), F.substring(abstract, 1, longest))).otherwise(F.lit(missing))
+    return F.concat(F.lit(before), F.coalesce(title, F.lit("")), body)
+
+
 def json_object(text: Column) -> Column:
     """The JSON object inside prose: within a fence if there is one, from the first ``{`` to the last ``}``; else null."""
     fenced = F.regexp_extract(text, r"(?s)```(?:json)?\s*(.*?)```", 1)

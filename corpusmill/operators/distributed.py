@@ -10,18 +10,20 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cuts lineage with a reliable checkpoint in the folder that ``spark.checkpoint.dir`` names.
-
-    Where the session names none (tests on one machine), a temporary folder is set once.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; where the session names none (tests on one machine), a temporary one."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None and not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="checkpoint-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Cuts lineage with a reliable checkpoint in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 #: Sets of keys that a facet row may have; each needs its own keys to be there.
-MASKS = (("area_id",), ("domain_id",), ("area_id", "domain_id"))
+MASKS = (("area_id",), ("domain_id",), ("domain_id", "subdomain_id"), ("area_id", "domain_id"), ("area_id", "domain_id", "subdomain_id"))
 
 
 def _masked(facts: DataFrame, masks: tuple[tuple[str, ...], ...], keep: list[str]) -> DataFrame:

@@ -29,6 +29,28 @@ def validate_labels(labels: DataFrame, dim: DataFrame, *, area: str = "area", do
     return joined.withColumn("note", note).withColumn("valid", F.col("note") == "").drop("_a", "_d")
 
 
+def validate_strict(labels: DataFrame, dim: DataFrame, *, renames: dict[str, str] | None = None, locked: str | None = None, area: str = "area", domain: str = "domain", unclassifiable: str = "unclassifiable") -> DataFrame:
+    """Adds ``final_area``, ``final_domain`` and ``note`` (``ok`` or why the label is refused), names compared exactly.
+
+    A domain of ``renames`` takes its new name first. ``locked`` names a column with an area that replaces the label's
+    own where it is not null; the domain must then be one of that area. An unclassifiable label is always ``ok``.
+    """
+    new = F.coalesce(*[F.when(F.col(domain) == a, F.lit(b)) for a, b in (renames or {}).items()], F.col(domain))
+    lock = F.col(locked) if locked else F.lit(None).cast("string")
+    named = labels.withColumn("final_area", F.coalesce(lock, F.col(area))).withColumn("final_domain", new)
+    areas = dim.select(F.col("area_name").alias("final_area")).distinct().withColumn("_area", F.lit(True))
+    pairs = dim.select(F.col("area_name").alias("final_area"), F.col("domain_name").alias("final_domain")).distinct().withColumn("_pair", F.lit(True))
+    joined = named.join(areas, "final_area", "left").join(pairs, ["final_area", "final_domain"], "left")
+    said = lambda what, c: F.concat(F.lit(what), F.coalesce(c, F.lit("")))
+    note = (
+        F.when(F.coalesce(F.col(unclassifiable), F.lit(False)) | F.col("_pair"), "ok")
+        .when(lock.isNotNull(), said("domain_not_in_locked_theme:", F.col("final_domain")))
+        .when(F.col("_area").isNull(), said("theme_not_in_taxonomy:", F.col("final_area")))
+        .otherwise(said("domain_not_in_theme:", F.col("final_domain")))
+    )
+    return joined.select(*labels.columns, "final_area", "final_domain", note.alias("note"))
+
+
 def resolve_by_domain(labels: DataFrame, dim: DataFrame, *, domain: str = "domain") -> DataFrame:
     """Adds ``owner``: the area that owns the domain, if its plain name occurs once in the taxonomy."""
     owners = dim.select(norm("domain_name").alias("_d"), "area_name").groupBy("_d").agg(F.count(F.lit(1)).alias("_n"), F.min("area_name").alias("owner")).where("_n = 1").drop("_n")
@@ -51,10 +73,10 @@ def conditional_merge(old: DataFrame, new: DataFrame, key: str, fields: list[str
     """Old rows with the new row's fields where a rule accepts it.
 
     ``rules`` are (name, condition) over ``o.*`` and ``n.*``; the first that holds is recorded in ``rule`` (null if
-    none or if there is no new row). ``changed``: the merged fields differ from the old ones.
+    none or if there is no new row). A new row counts whatever is null in it: a label may say that there is none. ``changed``: the merged fields differ from the old ones.
     """
-    joined = old.alias("o").join(new.alias("n"), key, "left")
-    rule = F.coalesce(*[F.when(F.col(f"n.{fields[0]}").isNotNull() & F.coalesce(condition, F.lit(False)), name) for name, condition in rules])
+    joined = old.alias("o").join(new.withColumn("_there", F.lit(True)).alias("n"), key, "left")
+    rule = F.coalesce(*[F.when(F.col("n._there").isNotNull() & F.coalesce(condition, F.lit(False)), name) for name, condition in rules])
     pick = {f: F.when(F.col("_rule").isNotNull(), F.col(f"n.{f}")).otherwise(F.col(f"o.{f}")) for f in fields}
     changed = ~F.struct(*[pick[f] for f in fields]).eqNullSafe(F.struct(*[F.col(f"o.{f}") for f in fields]))
     return joined.withColumn("_rule", rule).select(key, *[c.alias(f) for f, c in pick.items()], F.col("_rule").alias("rule"), changed.alias("changed"))

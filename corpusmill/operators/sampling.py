@@ -37,6 +37,7 @@ def take_per_stratum(rows: DataFrame, seats: DataFrame, strata: list[str], key:
 def band_allocation(cells: list[tuple[str, str, int]], per_group: dict[str, int], shares: dict[str, float]) -> list[tuple[str, str, int]]:
     """Seats per (group, band) under availability: shares rounded down and capped, then one seat at a time to bands with room, the largest share first.
 
+    Seats that a group cannot fill go to cells of other groups, one at a time to the cell with most room left.
     ``cells`` are (group, band, available); groups and bands are few by definition.
     """
     room = {(g, b): n for g, b, n in cells}
@@ -51,6 +52,11 @@ def band_allocation(cells: list[tuple[str, str, int]], per_group: dict[str, int]
             for b in open_bands[: want - sum(got.values())]:
                 got[b] += 1
         out |= {(g, b): n for b, n in got.items()}
+    for _ in range(sum(per_group.values()) - sum(out.values())):
+        cell = min(out, key=lambda c: (out[c] - room[c], c), default=None)
+        if cell is None or out[cell] >= room[cell]:
+            break
+        out[cell] += 1
     return [(g, b, n) for (g, b), n in sorted(out.items())]
 
 

@@ -71,6 +71,21 @@ def representatives(vectors: DataFrame, cents: DataFrame, *, id_col: str, vector
     return scored.withColumn("rank", rank).where(F.col("rank") <= top)
 
 
+def nearest_to(vectors: DataFrame, seed: DataFrame, name: str, *, id_col: str, vector: str, top: int) -> DataFrame:
+    """The ``top`` vectors most like the one of ``seed`` (one row), ties by id: a top-k, no sort of all rows in one task."""
+    scored = vectors.join(F.broadcast(seed), how="cross").withColumn("similarity", dot(F.col(vector), F.col(name))).drop(name)
+    return scored.orderBy(F.desc(F.round("similarity", 9)), id_col).limit(top)
+
+
+def cluster_share(rows: DataFrame, cluster: str, groups: DataFrame) -> DataFrame:
+    """Per group (``group``, ``clusters``, an array) the rows of its clusters and their share of all rows."""
+    sizes = rows.groupBy(cluster).agg(F.count(F.lit(1)).alias("_n"))
+    each = groups.select("group", F.explode(F.array_distinct("clusters")).alias(cluster)).join(sizes, cluster, "left")
+    total = sizes.agg(F.sum("_n").alias("_all"))
+    sums = each.groupBy("group").agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("n"))
+    return sums.join(total, how="cross").select("group", "n", F.round(F.col("n") / F.col("_all"), 3).alias("share"))  # one row
+
+
 def cluster_range(n: Column) -> tuple[Column, Column]:
     """Least and largest number of clusters to try for a group of ``n`` rows."""
     low = F.when(n >= 350, 8).otherwise(F.greatest(F.lit(5), F.floor(n / 50))).cast("int")
@@ -78,7 +93,7 @@ def cluster_range(n: Column) -> tuple[Column, Column]:
 
 
 def kmeans_sweep(vectors: DataFrame, vector: str, ks: list[int], *, seeds: int = 2, sample: int = 2_000) -> DataFrame:
-    """Per number of clusters the least cost over several seeds and the Euclidean silhouette.
+    """Per number of clusters the least cost over several seeds, the Euclidean silhouette, and whether it is the first best.
 
     Clustering is distributed; the silhouette is taken on a sample of at most ``sample`` rows by hash
     order, as pairs of all rows would be quadratic.
@@ -95,7 +110,8 @@ def kmeans_sweep(vectors: DataFrame, vector: str, ks: list[int], *, seeds: int =
         rows = best.transform(data).select("_v", "prediction").orderBy(F.xxhash64("_v")).limit(sample).toPandas()
         out.append((k, float(best.summary.trainingCost), silhouette(np.stack(rows["_v"].to_list()).astype("float64"), rows["prediction"].to_numpy())))
     data.unpersist()
-    return spark.createDataFrame(out, "k int, cost double, silhouette double")
+    best = max(out, key=lambda r: r[2])[0] if out else None
+    return spark.createDataFrame([(*r, r[0] == best) for r in out], "k int, cost double, silhouette double, is_best boolean")
 
 
 def silhouette(x: np.ndarray, labels: np.ndarray) -> float:

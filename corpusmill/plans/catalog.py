@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("integrity", "diff", "facets", "rules", "metrics", "sampling", "merging", "vectors", "graph", "more")
+MODULES = ("integrity", "diff", "facets", "rules", "metrics", "sampling", "merging", "vectors", "graph", "more", "taxonomy", "files")
 
 
 def _merged(attribute: str) -> dict:

@@ -133,8 +133,8 @@ SQL = {
     "join_j2_precedence_merge": f"""WITH {_TWO}, {PAPERS}, {TAXONOMY}, m AS (SELECT p.id, CASE WHEN a.area IS NOT NULL AND NOT a.unclassifiable AND a.escalated THEN 'sample' WHEN b.area IS NOT NULL AND NOT b.unclassifiable THEN 'batches' WHEN t.area_name IS NOT NULL THEN 'stored' ELSE 'none' END AS source,
       a.area AS aa, b.area AS ba, {norm_sql("t.area_name")} AS sa FROM papers p LEFT JOIN labels a USING (id) LEFT JOIN other b USING (id) LEFT JOIN taxonomy t USING (domain_id))
       SELECT source, CASE source WHEN 'sample' THEN aa WHEN 'batches' THEN ba WHEN 'stored' THEN sa END AS area, count(*) AS n FROM m GROUP BY ALL""",
-    "join_j11_conditional_merge": f"""WITH {_TWO}, j AS (SELECT o.id, o.area, o.domain, o.confidence, n.area AS na, n.domain AS nd, n.confidence AS nc, CASE WHEN n.area IS NULL THEN NULL WHEN o.area IS NULL THEN 'gap' WHEN n.confidence > o.confidence THEN 'surer'
-      WHEN o.confidence >= 0.5 AND o.confidence < 0.8 AND n.confidence >= 0.5 THEN 'midband' END AS rule FROM labels o LEFT JOIN other n USING (id))
+    "join_j11_conditional_merge": f"""WITH {_TWO}, j AS (SELECT o.id, o.area, o.domain, o.confidence, n.area AS na, n.domain AS nd, n.confidence AS nc, CASE WHEN n.id IS NULL THEN NULL WHEN o.area IS NULL THEN 'gap' WHEN n.confidence > o.confidence THEN 'surer'
+      WHEN o.confidence >= 0.5 AND o.confidence < 0.8 AND n.confidence >= 0.5 THEN 'midband' END AS rule FROM labels o LEFT JOIN other n ON n.id = o.id)
       SELECT id, CASE WHEN rule IS NULL THEN area ELSE na END AS area, CASE WHEN rule IS NULL THEN domain ELSE nd END AS domain, rule,
         rule IS NOT NULL AND (area IS DISTINCT FROM na OR domain IS DISTINCT FROM nd OR confidence IS DISTINCT FROM nc) AS changed FROM j""",
     "set_u5_repass_set": f"""WITH {labels_sql()}, r AS (SELECT * FROM labels WHERE NOT unclassifiable), s AS (SELECT domain FROM r WHERE domain IS NOT NULL GROUP BY domain ORDER BY count(*) DESC, domain LIMIT 3),

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import rules as R
 from ..functions.hygiene import JUNK_PATTERNS, hygiene
-from ..functions.text import band, norm, squash, ustrip
+from ..functions.text import band, key, norm, squash, ustrip
+from ..operators.distributed import latest
+from ..operators.slugs import free_slugs
 from ..sources.tables import load
 from .base import AUTHORS, PAPERS, TAXONOMY, authors, labels, labels_sql, papers, taxonomy
 from .sqltext import norm as norm_sql
@@ -16,6 +17,8 @@ from .sqltext import stripped
 
 #: Groups of words that point to a subject; ASCII only, so that engines agree.
 KEYWORDS = {"storage": "(?i)batter(y|ies)|supercapacitor", "learning": "(?i)neural|label noise", "water": "(?i)wastewater|groundwater", "imaging": "(?i)tomograph|retinal scan", "photonics": "(?i)waveguide|entangled photon"}
+#: An old name of a domain and the one it goes by.
+RENAMED = {"Ceramics & Oxides": "Polymers & Gels"}
 DECISION = "(?i)where|also|covers"
 
 
@@ -81,10 +84,30 @@ def scope_notes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unique_slugs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Slugs of part names; equal ones numbered in the order of names and keys. A slug's rows share a task only with equal names."""
-    rows = load(spark, sf_dir, "part").select("p_partkey", "p_name", R.slug(F.col("p_name")).alias("slug"))
-    at = F.row_number().over(W.partitionBy("slug").orderBy("p_name", "p_partkey"))
-    return rows.withColumn("at", at).select("p_partkey", F.when(F.col("at") == 1, F.col("slug")).otherwise(F.concat("slug", F.lit("-"), F.col("at").cast("string"))).alias("slug"))
+    """Slugs of part names, each the first that names before it leave free."""
+    rows = load(spark, sf_dir, "part").select("p_partkey", "p_name", R.slug(F.col("p_name")).alias("base"))
+    return free_slugs(rows, "base", ["p_name", "p_partkey"]).select("p_partkey", "slug")
+
+
+def prompt_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prompt texts in the five lengths that are in use, as length and digest."""
+    rows = papers(spark, sf_dir, "title", "abstract")
+    texts = {900: R.prompt_text(F.col("title"), F.col("abstract"), 900, before="", between=". ", missing="")} | {n: R.prompt_text(F.col("title"), F.col("abstract"), n) for n in (1100, 1200, 1500)} | {1700: R.prompt_text(F.col("title"), F.col("abstract"), 1700, between="\nAbstract: ", missing="\nAbstract: (no abstract)")}
+    return rows.select("id", *[F.length(t).alias(f"n{n}") for n, t in texts.items()], F.md5(F.concat_ws("|", *texts.values())).alias("digest"))
+
+
+def out_of_scope_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return papers(spark, sf_dir, "title").where(R.out_of_scope(F.col("title"))).select("id", "title")
+
+
+def strict_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels as spelled against the taxonomy, one domain renamed, areas locked where the other copy is sure."""
+    from ..operators.labels import validate_strict
+
+    raw = lambda table: latest(load(spark, sf_dir, table).select(key("id").alias("id"), F.col("thematic_area").alias("area"), "domain", "confidence", "unclassifiable", "labelled_at"), ["id"], ["labelled_at"])
+    sure = raw("audit50_v21_batches").where("confidence >= 0.9").select("id", F.col("area").alias("locked"))
+    checked = validate_strict(raw("audit50_v21_sample").join(sure, "id", "left"), taxonomy(spark, sf_dir), renames=RENAMED, locked="locked")
+    return checked.select("id", "final_area", "final_domain", "note")
 
 
 def digit_names(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -136,6 +159,7 @@ def theme_locked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "rule_p6_prompt_texts": prompt_texts, "rule_p14_out_of_scope_titles": out_of_scope_titles, "rule_p10_strict_labels": strict_labels,
     "rule_p4_hygiene_flags": hygiene_flags, "agg_a1_hygiene_reason_counts": hygiene_reason_counts, "rule_p1_clean_paper": clean_paper, "rule_p5_embedding_manifest": embedding_manifest,
     "rule_p7_norm_names": norm_names, "rule_p8_band_counts": band_counts, "rule_p11_extracted_json": extracted_json, "rule_p12_evidence_flags": evidence_flags, "agg_a32_keyword_counts": keyword_counts,
     "rule_p15_title_search": title_search, "rule_p16_compact_scope": scope_notes, "rule_p17_unique_slugs": unique_slugs, "rule_p19_digit_names": digit_names, "rule_p22_token_estimates": token_estimates,
@@ -152,6 +176,9 @@ owners AS (SELECT {norm_sql("domain_name")} AS d, min(area_name) AS owner FROM t
 _CHECK = """SELECT l.id, areas.area_name, pairs.domain_name, CASE WHEN l.unclassifiable THEN '' WHEN areas.area_name IS NULL THEN 'theme_not_in_taxonomy:' || coalesce(l.area, '')
   WHEN pairs.domain_name IS NULL THEN 'domain_not_in_theme:' || coalesce(l.domain, '') ELSE '' END AS note, owners.owner
   FROM {l} l LEFT JOIN areas ON areas.a = l.area LEFT JOIN pairs ON pairs.a = l.area AND pairs.d = l.domain LEFT JOIN owners ON owners.d = l.domain"""
+_RAW = lambda t: f"""SELECT id, v.area AS area, v.domain AS domain, v.confidence AS confidence, v.unclassifiable AS unclassifiable FROM (SELECT id, arg_max(v, (labelled_at, v.area, v.domain, v.confidence, v.unclassifiable)) AS v
+  FROM (SELECT {stripped("lower(id)")} AS id, labelled_at, {{'area': thematic_area, 'domain': domain, 'confidence': confidence, 'unclassifiable': unclassifiable}} AS v FROM {t}) GROUP BY id)"""
+_RENAMES = "CASE " + " ".join(f"WHEN a.domain = '{a}' THEN '{b}'" for a, b in RENAMED.items()) + " ELSE a.domain END"
 SQL = {
     "rule_p4_hygiene_flags": f"WITH {PAPERS}, {_FLAGS} SELECT id, status, reason, title_len FROM flags",
     "agg_a1_hygiene_reason_counts": f"WITH {PAPERS}, {_FLAGS} SELECT status, reason, count(*) AS n FROM flags GROUP BY ALL",
@@ -167,8 +194,21 @@ SQL = {
     "rule_p15_title_search": f"WITH {PAPERS} SELECT {norm_sql('title')} AS title, min(id) AS id FROM papers WHERE regexp_matches(title, '(?i)(review|survey)') AND NOT regexp_matches(title, '(?i)(erratum|retract)') GROUP BY 1",
     "rule_p16_compact_scope": f"""SELECT name, (SELECT string_agg(s, ' ' ORDER BY i) FROM (SELECT unnest(parts) AS s, generate_subscripts(parts, 1) AS i) WHERE i = 1 OR regexp_matches(s, '{DECISION}')) AS scope
       FROM (SELECT name, string_split(regexp_replace(definition, '([.;])\\s+', '\\1' || chr(1), 'g'), chr(1)) AS parts FROM domains)""",
-    "rule_p17_unique_slugs": """SELECT p_partkey, CASE WHEN k = 1 THEN slug ELSE slug || '-' || k END AS slug FROM (SELECT p_partkey, slug, row_number() OVER (PARTITION BY slug ORDER BY p_name, p_partkey) AS k
-      FROM (SELECT *, regexp_replace(regexp_replace(replace(lower(p_name), '&', ' and '), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS slug FROM part))""",
+    # Name by name, with the list of slugs in use.
+    "rule_p17_unique_slugs": """WITH RECURSIVE named AS (SELECT p_partkey, row_number() OVER (ORDER BY p_name, p_partkey) AS i, regexp_replace(regexp_replace(replace(lower(p_name), '&', ' and '), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS base FROM part),
+      most AS (SELECT max(k) + 20 AS m FROM (SELECT count(*) AS k FROM named GROUP BY base)),
+      step AS (SELECT 0::BIGINT AS i, NULL::BIGINT AS p_partkey, NULL::VARCHAR AS slug, []::VARCHAR[] AS used UNION ALL
+        SELECT i, p_partkey, s, list_append(used, s) FROM (SELECT n.i, n.p_partkey, t.used, CASE WHEN NOT list_contains(t.used, n.base) THEN n.base
+          ELSE n.base || '-' || list_filter(range(2, (SELECT m FROM most)), lambda m: NOT list_contains(t.used, n.base || '-' || m))[1] END AS s FROM step t JOIN named n ON n.i = t.i + 1))
+      SELECT p_partkey, slug FROM step WHERE i > 0""",
+    "rule_p6_prompt_texts": f"""WITH {PAPERS}, t AS (SELECT id, coalesce(title, '') || CASE WHEN coalesce(abstract, '') != '' THEN '. ' || abstract[1:900] ELSE '' END AS t900, {", ".join(f"'Title: ' || coalesce(title, '') || CASE WHEN coalesce(abstract, '') != '' THEN chr(10) || chr(10) || 'Abstract: ' || abstract[1:{n}] ELSE chr(10) || chr(10) || '(No abstract available.)' END AS t{n}" for n in (1100, 1200, 1500))},
+      'Title: ' || coalesce(title, '') || chr(10) || 'Abstract: ' || CASE WHEN coalesce(abstract, '') != '' THEN abstract[1:1700] ELSE '(no abstract)' END AS t1700 FROM papers)
+      SELECT id, {", ".join(f"length(t{n})::INT AS n{n}" for n in (900, 1100, 1200, 1500, 1700))}, md5(concat_ws('|', t900, t1100, t1200, t1500, t1700)) AS digest FROM t""",
+    "rule_p14_out_of_scope_titles": f"WITH {PAPERS} SELECT id, title FROM papers WHERE regexp_matches(title, '(?i)(?:{'|'.join(R.OUT_OF_SCOPE)})')",
+    "rule_p10_strict_labels": f"""WITH {TAXONOMY}, a AS ({_RAW("audit50_v21_sample")}), b AS ({_RAW("audit50_v21_batches")}),
+      l AS (SELECT a.id, a.unclassifiable, CASE WHEN b.confidence >= 0.9 THEN b.area END AS locked, a.area, {_RENAMES} AS d FROM a LEFT JOIN b USING (id)), j AS (SELECT *, coalesce(locked, area) AS ar FROM l)
+      SELECT id, ar AS final_area, d AS final_domain, CASE WHEN coalesce(unclassifiable, false) OR EXISTS (SELECT 1 FROM taxonomy t WHERE t.area_name = ar AND t.domain_name = d) THEN 'ok' WHEN locked IS NOT NULL THEN 'domain_not_in_locked_theme:' || coalesce(d, '')
+        WHEN NOT EXISTS (SELECT 1 FROM taxonomy t WHERE t.area_name = ar) THEN 'theme_not_in_taxonomy:' || coalesce(ar, '') ELSE 'domain_not_in_theme:' || coalesce(d, '') END AS note FROM j""",
     "rule_p19_digit_names": """SELECT coalesce(CASE WHEN d BETWEEN 1 AND 9 THEN list_extract(['one','two','three','four','five','six','seven','eight','nine'], d) END, 'unclassifiable') AS name, count(*) AS n
       FROM (SELECT try_cast(nullif(regexp_extract(props, '[0-9]'), '') AS INT) AS d FROM events) GROUP BY 1""",
     "rule_p22_token_estimates": "SELECT lower(trim(source)) AS source, sum(greatest(16, floor(length(text) / 4)))::BIGINT AS n_tokens, max(greatest(16, floor(length(text) / 4)))::INT AS largest FROM documents GROUP BY 1",

@@ -104,7 +104,17 @@ QUERIES = {
 _QUOTA = f"""{labels_sql()}, c AS (SELECT area, count(*) AS n FROM labels WHERE area IS NOT NULL GROUP BY area), t AS (SELECT <total> AS total),
 e AS (SELECT c.*, t.total, n * t.total / sum(n) OVER () AS x FROM c, t), f AS (SELECT *, floor(x)::INT AS s, round(x - floor(x), 9) AS rest FROM e),
 quota AS (SELECT area, n, s + (CASE WHEN row_number() OVER (ORDER BY rest DESC, area) <= total - sum(s) OVER () THEN 1 ELSE 0 END) AS seats FROM f)"""
+_BAND = "CASE WHEN confidence < 0.5 THEN '<0.5' WHEN confidence < 0.8 THEN '0.5-0.8' ELSE '>=0.8' END"
+_M5 = f"""WITH {labels_sql()}, c AS (SELECT area, {_BAND} AS band, count(*)::INT AS n FROM labels WHERE area IS NOT NULL AND confidence IS NOT NULL GROUP BY ALL),
+g AS (SELECT area, count(*) AS n FROM labels WHERE area IS NOT NULL GROUP BY area), e AS (SELECT area, n * (250 - 10 * (SELECT count(*) FROM g)) / sum(n) OVER () AS x FROM g),
+f AS (SELECT area, floor(x)::INT AS s, round(x - floor(x), 9) AS rest FROM e), w AS (SELECT area, 10 + s + (row_number() OVER (ORDER BY rest DESC, area) <= 250 - 10 * (SELECT count(*) FROM g) - sum(s) OVER ())::INT AS want FROM f),
+s AS (SELECT c.*, w.want, CASE band WHEN '<0.5' THEN 0.4::DOUBLE ELSE 0.3::DOUBLE END AS share FROM c JOIN w USING (area)), b AS (SELECT *, least(n, floor(want * share)::INT) AS base, row_number() OVER (PARTITION BY area ORDER BY share DESC, band) AS o FROM s),
+x AS (SELECT area, band, n, want, base, sum(base) OVER (PARTITION BY area) AS have, o FROM b), extra AS (SELECT *, unnest(range(1, n - base + 1)) AS r FROM x), got AS (SELECT area, band, row_number() OVER (PARTITION BY area ORDER BY r, o) <= want - have AS ok FROM extra),
+m AS (SELECT x.area, x.band, x.n, x.want, x.base + coalesce((SELECT count(*) FROM got WHERE got.area = x.area AND got.band = x.band AND ok), 0) AS seats FROM x),
+more AS (SELECT area, band, unnest(range(1, n - seats + 1)) AS r, n - seats AS room FROM m), top AS (SELECT area, band FROM more QUALIFY row_number() OVER (ORDER BY room - r + 1 DESC, area, band) <= (SELECT sum(want) FROM w) - (SELECT sum(seats) FROM m))
+SELECT m.area, m.band, (m.seats + (SELECT count(*) FROM top WHERE top.area = m.area AND top.band = m.band))::INT AS seats FROM m"""
 SQL = {
+    "samp_m5_band_allocation": _M5,
     "samp_m3_largest_remainder": f"WITH {_QUOTA.replace("<total>", "250")} SELECT area, n, seats FROM quota",
     "samp_m4_area_allocation": f"WITH {_QUOTA.replace("<total>", "(SELECT 250 - 10 * count(*) FROM c)")} SELECT area, n, seats + 10 AS seats FROM quota",
     "samp_m7_stratified": f"""WITH {_QUOTA.replace("<total>", "250")}, r AS (SELECT id, area, row_number() OVER (PARTITION BY area ORDER BY md5('{SEED}-' || id), id) AS rank FROM labels WHERE area IS NOT NULL)

@@ -59,7 +59,7 @@ def embedding_qa(spark, sf_dir):
 
 
 def cluster_ranges(spark, sf_dir):
-    sizes = _vectors(spark, sf_dir).groupBy("label").agg((F.count(F.lit(1)) * 7).alias("n"))
+    sizes = _vectors(spark, sf_dir).groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     low, high = V.cluster_range(F.col("n"))
     return sizes.select("label", "n", low.alias("k_low"), high.alias("k_high"))
 
@@ -76,15 +76,23 @@ def merged_groups(spark, sf_dir):
 
 
 def seeded_centroid(spark, sf_dir):
-    """A new group from the 15 vectors nearest to vector 0: their mean."""
-    first = _vectors(spark, sf_dir).orderBy("vec_id").limit(1).select(F.col("embedding").alias("centroid"), F.lit(0).alias("label"))
-    near = V.representatives(_vectors(spark, sf_dir).drop("label").withColumn("label", F.lit(0)), first, id_col="vec_id", vector="embedding", group="label", top=15)
-    return near.select("vec_id", F.round("similarity", 6).alias("similarity"), "rank")
+    """A new group from the 15 vectors nearest to the first one: their mean, of unit length, position by position."""
+    first = _vectors(spark, sf_dir).orderBy("vec_id").limit(1).select(F.col("embedding").alias("seed"))
+    near = V.nearest_to(_vectors(spark, sf_dir), first, "seed", id_col="vec_id", vector="embedding", top=15)
+    mean = V.centroids(near.withColumn("label", F.lit(0)), "label", "embedding")
+    return mean.select("n", F.posexplode("centroid").alias("pos", "x")).select("n", "pos", F.round("x", 6).alias("x"))
+
+
+def cluster_shares(spark, sf_dir):
+    """Share of all vectors that the clusters of each of four groups hold."""
+    labels = _vectors(spark, sf_dir).select("label").distinct()
+    groups = labels.groupBy((F.col("label") % 4).cast("int").alias("group")).agg(F.collect_set("label").alias("clusters"))
+    return V.cluster_share(_vectors(spark, sf_dir), "label", groups)
 
 
 QUERIES = {
     "vec_a24_centroids": centroid_table, "vec_v8_nearest_centroid": nearest, "vec_w2_cluster_reps": cluster_reps, "vec_a25_percentiles": similarity_percentiles, "vec_v12_centroid_agreement": centroid_agreement, "vec_j10_worst_matches": worst_matches,
-    "vec_v11_embedding_qa": embedding_qa, "vec_v7_k_range": cluster_ranges, "vec_v6_kmeans_sweep": sweep, "vec_v10_merged_groups": merged_groups, "vec_v9_seed_group": seeded_centroid,
+    "vec_v11_embedding_qa": embedding_qa, "vec_v7_k_range": cluster_ranges, "vec_v6_kmeans_sweep": sweep, "vec_v10_merged_groups": merged_groups, "vec_v9_seed_group": seeded_centroid, "agg_a34_cluster_share": cluster_shares,
 }
 
 _CENTS = """e AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings), m AS (SELECT label, pos, avg(x) AS m FROM (SELECT label, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM e) GROUP BY ALL),
@@ -100,7 +108,9 @@ SQL = {
     "vec_j10_worst_matches": f"WITH {_CENTS} SELECT vec_id, e.label, round(list_dot_product(v, c), 6) AS similarity FROM e JOIN cents USING (label) ORDER BY similarity, vec_id LIMIT 80",
     "vec_v11_embedding_qa": """WITH r AS (SELECT vec_id, len(embedding) AS d, sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) AS norm FROM embeddings)
       SELECT count(*) AS n, count(DISTINCT vec_id) AS n_ids, min(d) AS least_dim, max(d) AS most_dim, round(min(norm), 5) AS least_norm, round(max(norm), 5) AS most_norm, round(avg(norm), 5) AS mean_norm, round(stddev_pop(norm), 5) AS sd_norm FROM r""",
-    "vec_v7_k_range": """SELECT label, n, k_low, least(14, greatest(k_low, n // 40))::INT AS k_high FROM (SELECT label, 7 * count(*) AS n, (CASE WHEN 7 * count(*) >= 350 THEN 8 ELSE greatest(5, 7 * count(*) // 50) END)::INT AS k_low FROM embeddings GROUP BY label)""",
+    "vec_v7_k_range": """SELECT label, n, k_low, least(14, greatest(k_low, n // 40))::INT AS k_high FROM (SELECT label, count(*) AS n, (CASE WHEN count(*) >= 350 THEN 8 ELSE greatest(5, count(*) // 50) END)::INT AS k_low FROM embeddings GROUP BY label)""",
+    "agg_a34_cluster_share": "SELECT (label % 4)::INT AS \"group\", count(*) AS n, round(count(*) / (SELECT count(*) FROM embeddings), 3) AS share FROM embeddings GROUP BY 1",
     "vec_v9_seed_group": """WITH e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings), f AS (SELECT v AS c FROM e ORDER BY vec_id LIMIT 1), s AS (SELECT vec_id, list_dot_product(v, c) AS s FROM e, f),
-      r AS (SELECT *, row_number() OVER (ORDER BY round(s, 9) DESC, vec_id) AS rank FROM s) SELECT vec_id, round(s, 6) AS similarity, rank FROM r WHERE rank <= 15""",
+      r AS (SELECT v FROM s JOIN e USING (vec_id) ORDER BY round(s, 9) DESC, vec_id LIMIT 15), m AS (SELECT pos, avg(x) AS m, count(*) AS n FROM (SELECT unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM r) GROUP BY pos)
+      SELECT n, (pos - 1)::INT AS pos, round(m / (SELECT sqrt(sum(m * m)) FROM m), 6) AS x FROM m""",
 }

@@ -31,9 +31,23 @@ def write_jsonl(df: DataFrame, path: str, fields: list[str]) -> None:
     df.select(*fields).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+#: Marks a file as UTF-8 for spreadsheet programs.
+BYTE_ORDER_MARK = "\ufeff"
+
+
 def write_csv(df: DataFrame, path: str, order: list) -> None:
-    """Quoted CSV with a header, sorted by ``order`` over all files."""
-    df.orderBy(*order).write.mode("overwrite").option("header", "true").option("quoteAll", "true").csv(path)
+    """Quoted CSV with a header and a byte order mark, sorted by ``order`` over all files.
+
+    The mark stands at the start of each file, as part of the first column's name in the header.
+    """
+    first, *rest = df.columns
+    marked = df.orderBy(*order).select(F.col(f"`{first}`").alias(BYTE_ORDER_MARK + first), *[F.col(f"`{c}`") for c in rest])
+    marked.write.mode("overwrite").option("header", "true").option("quoteAll", "true").csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """Rows of ``write_csv`` under an explicit schema; the header, with or without the mark, is no row."""
+    return spark.read.schema(schema).option("header", "true").option("enforceSchema", "true").csv(path)
 
 
 def publish(df: DataFrame, root: str) -> str:

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -7,7 +8,9 @@ from corpusmill.functions import rules as R
 from corpusmill.functions.hygiene import hygiene
 from corpusmill.functions.text import band, norm, reference_key
 from corpusmill.operators import labels as L
+from corpusmill.operators.facets import facet_counts
 from corpusmill.operators.sampling import band_allocation
+from corpusmill.operators.slugs import free_slugs
 from corpusmill.operators.vectors import merge_smallest, silhouette
 
 
@@ -40,6 +43,42 @@ def test_merges(spark):
     assert sorted((r.name, r.action) for r in got.collect()) == [("x", "delete"), ("y", "keep"), ("z", "insert")]
 
 
+def test_new_row_with_null_fields_counts(spark):
+    old = spark.createDataFrame([("1", "a"), ("2", "a")], "id string, area string")
+    new = spark.createDataFrame([("1", None)], "id string, area string")
+    got = L.conditional_merge(old, new, "id", ["area"], [("any", F.lit(True))])
+    assert sorted(tuple(r) for r in got.collect()) == [("1", None, "any", True), ("2", "a", None, False)]
+
+
+def looped(names):
+    used, out = set(), []
+    for n in names:
+        s, k = n, 2
+        while s in used:
+            s, k = f"{n}-{k}", k + 1
+        used.add(s)
+        out.append(s)
+    return out
+
+
+@pytest.mark.parametrize("names", [["a", "a", "a-2", "a", "a-2", "b"], ["a-2", "a-2-2", "a", "a", "a-2", "a", "a"], ["a", "a-3", "a", "a", "a-2", "a-2", "a"], ["x"] * 6, [""]])
+def test_slugs_equal_the_loop(spark, names):
+    df = spark.createDataFrame(list(enumerate(names)), "i int, base string")
+    got = [r.slug for r in free_slugs(df, "base", ["i"]).orderBy("i").collect()]
+    assert got == looped(names)
+
+
+def test_subdomain_masks(spark):
+    df = spark.createDataFrame([("1", "a", "d", "s"), ("2", "a", "d", None), ("3", None, "d", "s")], "id string, area_id string, domain_id string, subdomain_id string")
+    got = {(r["mask"], r.area_id, r.domain_id, r.subdomain_id): r.n for r in facet_counts(df, entity="id").collect()}
+    assert got == {(0, "a", None, None): 2, (1, None, "d", None): 3, (2, None, "d", "s"): 2, (3, "a", "d", None): 2, (4, "a", "d", "s"): 1}
+
+
+def test_missing_seats_go_to_cells_with_room():
+    got = band_allocation([("g", "<0.5", 3), ("h", "<0.5", 9), ("h", ">=0.8", 4)], {"g": 5, "h": 4}, {"<0.5": 0.5, ">=0.8": 0.5})
+    assert got == [("g", "<0.5", 3), ("h", "<0.5", 4), ("h", ">=0.8", 2)] and sum(n for *_, n in got) == 9
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 30), min_size=3, max_size=3), st.integers(0, 60))
 def test_band_allocation_keeps_bounds(room, want):
