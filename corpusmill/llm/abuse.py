@@ -317,7 +317,7 @@ def learned_terms(documents: DataFrame, labelled: DataFrame, *, id_col: str = "d
 
     def holds(left_out: int) -> Column:
         b = sum((F.col(f"b{k}") for k in folds if k != left_out), F.lit(0))
-        n = b + sum((F.col(f"g{k}") for k in folds if k != left_out), F.lit(0))
+        n = F.greatest(b + sum((F.col(f"g{k}") for k in folds if k != left_out), F.lit(0)), F.lit(1))
         p = b / n
         return (b >= least) & ((p + 1 / (2 * n) - F.sqrt(p * (1 - p) / n + 1 / (4 * n * n))) / (1 + 1 / n) >= share)
 

@@ -40,6 +40,14 @@ def test_terms_are_learned_from_labels_of_other_folds(spark):
     assert labelled.count() == 82 and labelled_documents(labels, max_labelled=10).count() == 10
 
 
+def test_terms_of_one_fold_only(spark):
+    labels = spark.createDataFrame([(i, 1) for i in range(60)], "doc_id long, toxic int")
+    labelled = labelled_documents(labels)
+    first = {r.doc_id for r in labelled.where("fold = 0").collect()}
+    docs = spark.createDataFrame([(i, "snerfle" if i in first else "calm") for i in range(60)], "doc_id long, text string")
+    assert len(first) >= 3 and learned_terms(docs, labelled)["snerfle"] == 0b11110
+
+
 def test_isotonic_and_booster():
     x, y = isotonic(np.array([1.0, 2, 3, 4]), np.array([0.0, 1, 0, 1]), np.ones(4))
     assert list(y) == sorted(y) and np.isclose(np.interp(2.5, x, y), 0.5)
